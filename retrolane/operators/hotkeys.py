@@ -1,52 +1,27 @@
-"""Left join to one-or-few-rows-per-key lookups without overloading a hot key's task."""
+"""Joins on keys of which one may hold a large share of all rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is spread over several tasks.
-ROWS_PER_SALT = 1_000_000
-# Rows without a key match nothing; they are spread so that they do not gather in one task.
-NULL_SALTS = 256
+GUARD = "key_hash"
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Each distinct key with its row count; map-side combining absorbs hot keys."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("key_rows"))
+def distinct_keys(df: DataFrame, key: str) -> DataFrame:
+    """Each key once; combining before the shuffle keeps a hot key from gathering in one task."""
+    return df.where(F.col(key).isNotNull()).select(key).distinct()
 
 
-def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    counts: DataFrame,
-    row_id: Sequence[str],
-    rows_per_salt: int = ROWS_PER_SALT,
-) -> DataFrame:
-    """``left`` left-joined to ``right`` on ``key``, hot keys split by a salt.
+def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """A join on ``key`` whose oversized partitions adaptive execution can split.
 
-    ``counts`` comes from :func:`key_counts` over the same left rows. Only keys
-    above ``rows_per_salt`` are salted, so at most ``rows / rows_per_salt`` of
-    them exist; that bound is what makes the broadcast of the hot list safe. The
-    salt is a hash of ``row_id`` and therefore the same when a task is retried.
+    Skew handling splits a join partition only when both inputs come straight
+    from the join's own shuffle. An input that was just aggregated by ``key`` is
+    already partitioned that way and would be joined without one, so a hot key
+    on the other side stayed in one task. Joining on the key and its hash, which
+    matches exactly the same rows, gives both inputs a shuffle of their own. The
+    hash depends on the key alone, so retried tasks place rows as before.
     """
-    hot = F.broadcast(
-        counts.where(F.col("key_rows") > rows_per_salt).select(
-            key, F.ceil(F.col("key_rows") / rows_per_salt).cast("int").alias("salts")
-        )
-    )
-    spread = F.xxhash64(*row_id)
-    salted_left = left.join(hot, key, "left").withColumn(
-        "salt",
-        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_SALTS)))
-        .when(F.col("salts").isNotNull(), F.pmod(spread, F.col("salts")))
-        .otherwise(F.lit(0))
-        .cast("int"),
-    )
-    salted_right = right.join(hot, key, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
-    )
-    return salted_left.drop("salts").join(salted_right.drop("salts"), [key, "salt"], "left").drop("salt")
+    guard = F.xxhash64(key)
+    return left.withColumn(GUARD, guard).join(right.withColumn(GUARD, guard), [key, GUARD], how).drop(GUARD)

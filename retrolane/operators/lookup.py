@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retrolane.operators.hotkeys import key_counts, salted_left_join
+from retrolane.operators.hotkeys import distinct_keys, splittable_join
 from retrolane.sources.catalog import Catalog
 
 CUSTOMER_COLUMNS = (
@@ -16,9 +14,11 @@ CUSTOMER_COLUMNS = (
 
 
 def returned_items(c: Catalog, barcodes: DataFrame) -> DataFrame:
-    """Returned items of the wanted barcodes only; cuts the returns side before any further join."""
-    return c.cri.select(F.col("code").alias("barcode"), F.col("id").alias("cri_id"), "crp_id", "cc_id",
-                        "item_price", "weight").join(barcodes, "barcode", "left_semi")
+    """Returned items of the wanted (distinct) barcodes; cuts the returns side before any further join."""
+    returned = c.cri.select(
+        F.col("code").alias("barcode"), F.col("id").alias("cri_id"), "crp_id", "cc_id", "item_price", "weight"
+    )
+    return splittable_join(returned, barcodes, "barcode", "left_semi")
 
 
 def customer_details(c: Catalog, barcodes: DataFrame) -> DataFrame:
@@ -47,8 +47,11 @@ def customer_names(c: Catalog, barcodes: DataFrame) -> DataFrame:
     return found.groupBy("barcode").agg(F.min_by("found_name", "cri_id").alias("found_name"))
 
 
-def with_customer(c: Catalog, rows: DataFrame, row_id: Sequence[str]) -> DataFrame:
-    """Adds the customer columns to a listing keyed by ``barcode``; no match leaves NULLs."""
-    counts = key_counts(rows, "barcode")
-    details = customer_details(c, counts.select("barcode"))
-    return salted_left_join(rows, details, "barcode", counts, row_id)
+def with_customer(c: Catalog, rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """Adds the customer columns to a listing keyed by ``barcode``; no match leaves NULLs.
+
+    ``asked`` holds at least the listing's barcodes. It may be a cheaper plan that
+    yields more of them, since it only narrows what is looked up.
+    """
+    details = customer_details(c, distinct_keys(asked, "barcode"))
+    return splittable_join(rows, details, "barcode", "left")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retrolane.operators.hotkeys import distinct_keys, splittable_join
 from retrolane.operators.lookup import returned_items
 from retrolane.sources.catalog import Catalog
 
@@ -19,26 +20,25 @@ def status_change(history: DataFrame, status: str) -> DataFrame:
     )
 
 
-def qc_history(c: Catalog, barcodes: DataFrame) -> DataFrame:
-    """Every quality-check time of the wanted barcodes."""
-    items = (
+def traceable_items(c: Catalog, barcodes: DataFrame) -> DataFrame:
+    """Returned items of the wanted barcodes that have a complaint and a package."""
+    return (
         returned_items(c, barcodes)
         .join(c.cc.select(F.col("id").alias("cc_id")), "cc_id", "left_semi")
         .join(c.crp.select(F.col("id").alias("crp_id")), "crp_id", "left_semi")
     )
+
+
+def qc_history(c: Catalog, barcodes: DataFrame) -> DataFrame:
+    """Every quality-check time of the wanted barcodes."""
     passed = status_change(c.cri_history, "PDC").select("cri_id", F.col("created").alias("status_time"))
-    return items.join(passed, "cri_id").select("barcode", "status_time")
+    return traceable_items(c, barcodes).join(passed, "cri_id").select("barcode", "status_time")
 
 
 def received_history(c: Catalog, barcodes: DataFrame) -> DataFrame:
     """Every receipt time of the wanted barcodes."""
-    items = (
-        returned_items(c, barcodes)
-        .join(c.cc.select(F.col("id").alias("cc_id")), "cc_id", "left_semi")
-        .join(c.crp.select(F.col("id").alias("crp_id")), "crp_id", "left_semi")
-    )
     received = status_change(c.crp_history, "RPR").select("crp_id", F.col("created").alias("status_time"))
-    return items.join(received, "crp_id").select("barcode", "status_time")
+    return traceable_items(c, barcodes).join(received, "crp_id").select("barcode", "status_time")
 
 
 @dataclass(frozen=True)
@@ -58,11 +58,12 @@ class Milestone:
 
     def additions(self, c: Catalog, barcodes: DataFrame) -> DataFrame:
         """History rows of the barcodes the cache does not hold yet; these are appended to it."""
-        return self.history(c, barcodes.join(self.cached(c), "barcode", "left_anti"))
+        held = distinct_keys(self.cached(c), "barcode")
+        return self.history(c, barcodes.join(held, "barcode", "left_anti"))
 
     def resolve(self, c: Catalog, barcodes: DataFrame) -> DataFrame:
-        """Cached times, else the first historical one, for the wanted barcodes."""
-        known = self.cached(c).join(barcodes, "barcode", "left_semi")
+        """Cached times, else the first historical one, for the wanted (distinct) barcodes."""
+        known = splittable_join(self.cached(c), barcodes, "barcode", "left_semi")
         first = self.additions(c, barcodes).groupBy("barcode").agg(F.min("status_time").alias("status_time"))
         return known.unionByName(first)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retrolane.clock import moment
-from retrolane.operators.hotkeys import key_counts, salted_left_join
+from retrolane.operators.hotkeys import distinct_keys, splittable_join
 from retrolane.operators.lookup import customer_names
 from retrolane.plans.cohorts import received
 from retrolane.sources.catalog import Catalog
@@ -29,7 +29,6 @@ def customer_name_fill(c: Catalog, excluded: Sequence[str] = ()) -> DataFrame:
     missing = c.inventory.where(F.col("customer_name").isNull() & F.col("barcode").isNotNull())
     if excluded:
         missing = missing.where(~F.col("barcode").isin(list(excluded)))
-    names = customer_names(c, missing.select("barcode"))
-    inventory = c.inventory
-    filled = salted_left_join(inventory, names, "barcode", key_counts(inventory, "barcode"), row_id=["id"])
-    return filled.withColumn("customer_name", F.coalesce("found_name", "customer_name")).select(*inventory.columns)
+    names = customer_names(c, distinct_keys(missing, "barcode"))
+    filled = splittable_join(c.inventory, names, "barcode", "left")
+    return filled.withColumn("customer_name", F.coalesce("found_name", "customer_name")).select(*c.inventory.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from retrolane.clock import Clock
 from retrolane.functions.text import recipients
+from retrolane.operators.hotkeys import splittable_join
 from retrolane.operators.digest import ROWS_PER_PART, html_parts
 from retrolane.plans.operations import report_address
 from retrolane.plans.parts import dispatched, items, sheet_lines, sheets
@@ -73,7 +74,7 @@ def receiver_addresses(c: Catalog, wanted: DataFrame, inventory_key: str) -> Dat
         .groupBy("sought", "receiver_id")
         .agg(F.count("*").alias("rows"))
     )
-    known = reached.join(receivers, "receiver_id").join(alternates, "receiver_name", "left")
+    known = splittable_join(reached.join(receivers, "receiver_id"), alternates, "receiver_name", "left")
     best = F.max_by(F.struct("primary_email", "alternate_email"), "receiver_id").alias("best")
     return known.groupBy("sought").agg(best).select("sought", "best.*")
 

@@ -41,13 +41,14 @@ def rule_listing(c: Catalog, rule_name: str, since: datetime) -> DataFrame:
     """Dispatched items put away under one rule, with gate-pass flag and customer."""
     rule = c.rules.where(same_text(F.col("rule_name"), rule_name)).select(F.col("id").alias("rule_id"))
     recent = sheets(c).where(F.col("sheet_created") > moment(since)).select("sheet_id")
-    rows = dispatched(c, recent, items(c).join(rule, "rule_id"))
+    ruled = items(c).join(rule, "rule_id")
+    rows = dispatched(c, recent, ruled)
     rows = with_gate_pass(c, with_user(c, rows.withColumnRenamed("created_by_id", "user_id"), "user_id"))
     rows = rows.select(
-        "putaway_date", "suborder_code", "sheet_id", "item_id", "barcode", "issue_category", "product_name",
+        "putaway_date", "suborder_code", "sheet_id", "barcode", "issue_category", "product_name",
         "forward_awb_number", "seller_name", "vendor_code", "gate_pass_date", "username",
     )
-    full = with_customer(c, rows, row_id=["item_id", "sheet_id", "gate_pass_date"])
+    full = with_customer(c, rows, asked=ruled)
     return full.select(
         "putaway_date", "ticket_id", "suborder_code", F.col("sheet_id").alias("rtv_sheet_detail_id"), "barcode",
         "issue_category", "product_name", F.col("forward_awb_number").alias("rpu_waybill_no"), "seller_name",
@@ -75,10 +76,10 @@ def liquidation_listing(c: Catalog, since: datetime) -> DataFrame:
     rows = ruled.join(sheet_lines(c), "item_id", "left")
     rows = with_gate_pass(c, with_user(c, rows.withColumnRenamed("created_by_id", "user_id"), "user_id"))
     rows = rows.select(
-        "putaway_date", "rule_name", "suborder_code", "sheet_id", "item_id", "barcode", "issue_category",
+        "putaway_date", "rule_name", "suborder_code", "sheet_id", "barcode", "issue_category",
         "product_name", "forward_awb_number", "seller_name", "vendor_code", "gate_pass_date", "username",
     )
-    full = with_customer(c, rows, row_id=["item_id", "sheet_id", "gate_pass_date"])
+    full = with_customer(c, rows, asked=ruled)
     return full.select(
         "putaway_date", "rule_name", "ticket_id", "suborder_code", F.col("sheet_id").alias("rtv_sheet_detail_id"),
         "barcode", "issue_category", "product_name", F.col("forward_awb_number").alias("rpu_waybill_no"),
@@ -113,7 +114,7 @@ def putaway_master(c: Catalog, clock: Clock, days: int = 1) -> DataFrame:
         )
     )
     one = rows.groupBy("barcode").agg(latest.alias("latest")).select("barcode", "latest.*")
-    full = with_customer(c, one, row_id=["reversed_item_id"])
+    full = with_customer(c, one, asked=recent)
     return full.select(
         "putaway_date", "ticket_id", F.col("forward_awb_number").alias("rpu_waybill_no"), "barcode", "suborder_code",
         "issue_category", "rule_name", "status", "product_name", "price", "rtv_date",
@@ -132,7 +133,7 @@ def rtv_data(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
         "issue_category", "seller_name", "vendor_code", "price", "putaway_date", "forward_awb_number",
         "manifest_date", "sheet_courier", "awb_number", "username", "warehouse_code",
     )
-    full = with_customer(c, rows, row_id=["item_id", "sheet_id"])
+    full = with_customer(c, rows, asked=rows)
     return full.orderBy(F.desc("dispatch_date"), "sheet_id", "item_id").select(
         F.col("sheet_created").alias("rtv_date"), F.col("sheet_id").alias("rtv_sheet_detail_id"), "ticket_id",
         "suborder_code", "customer_name", "barcode", "product_name", "issue_category", "seller_name", "vendor_code",

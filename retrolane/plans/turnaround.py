@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retrolane.clock import Clock
 from retrolane.functions.labels import Sites, detail_warehouse_label, qc_site_label, warehouse_label
 from retrolane.functions.metrics import bucket_names, item_buckets, percent_one_decimal, row_buckets
-from retrolane.operators.hotkeys import key_counts, salted_left_join
+from retrolane.operators.hotkeys import distinct_keys, splittable_join
 from retrolane.operators.readthrough import Milestone, status_change
 from retrolane.operators.totals import named_total, per_item_with_total
 from retrolane.plans.parts import (
@@ -32,7 +32,7 @@ def _recent_dispatches(c: Catalog, clock: Clock, days: int) -> DataFrame:
 
 def dispatched_barcodes(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
     """Barcodes the turnaround listing asks a status date for."""
-    return key_counts(_recent_dispatches(c, clock, days), "barcode").select("barcode")
+    return distinct_keys(_recent_dispatches(c, clock, days), "barcode")
 
 
 def to_dispatch_detail(c: Catalog, clock: Clock, sites: Sites, milestone: Milestone, days: int = 7) -> DataFrame:
@@ -41,18 +41,16 @@ def to_dispatch_detail(c: Catalog, clock: Clock, sites: Sites, milestone: Milest
     Several cached dates of one barcode repeat its row.
     """
     rows = _recent_dispatches(c, clock, days)
-    counts = key_counts(rows, "barcode")
-    dates = milestone.resolve(c, counts.select("barcode"))
+    dates = milestone.resolve(c, distinct_keys(rows, "barcode"))
 
     wide = with_rules(c, rows).withColumn("rule_name", normal_rule_first())
     wide = with_warehouse(c, with_user(c, wide, "user_id", "left"), "sheet_warehouse_id", "left")
     label = F.coalesce(detail_warehouse_label("username", "item_warehouse_id", sites), F.col("warehouse_code"))
     wide = wide.withColumn("warehouse", label).select(
-        "item_id", "sheet_id", "barcode", "suborder_code", "issue_category", "putaway_date", "dispatch_date",
-        "rule_name", "username", "warehouse_code", "warehouse",
+        "barcode", "suborder_code", "issue_category", "putaway_date", "dispatch_date", "rule_name", "username",
+        "warehouse_code", "warehouse",
     )
-    dated = salted_left_join(wide, dates, "barcode", counts, row_id=["item_id", "sheet_id"])
-    return dated.select(
+    return splittable_join(wide, dates, "barcode", "left").select(
         "suborder_code", "issue_category", "putaway_date", "dispatch_date",
         F.col("status_time").alias(milestone.date_column), "rule_name", "username", "warehouse_code", "warehouse",
     )
