@@ -12,39 +12,53 @@ from retrolane.plans.parts import items, sheet_lines, sheets
 from retrolane.sources.catalog import Catalog
 
 
-def manifest_rows(c: Catalog, manifests: DataFrame) -> DataFrame:
-    """Manifest contents: sheets, receivers and items, for manifests whose sheet has a named warehouse.
+def manifest_lines(c: Catalog, manifests: DataFrame) -> DataFrame:
+    """Keys of the manifests' lines: manifest, sheet, item, courier and warehouse.
 
-    A manifest must reach a warehouse to be exported, so the joins up to there
-    are inner ones; receiver, address and items may be missing.
+    A manifest must reach a named warehouse to be exported, so the joins up to
+    there are inner ones; a sheet without items keeps one line.
     """
     names = c.warehouse.where(F.col("name").isNotNull()).select(
-        F.col("id").alias("sheet_warehouse_id"), F.col("code").alias("warehouse_code"), F.col("name").alias("warehouse")
+        F.col("id").alias("sheet_warehouse_id"), F.col("name").alias("warehouse")
     )
-    receivers = c.receiver_detail.select(
-        F.col("id").alias("receiver_id"), F.col("name").alias("receiver_name"), F.col("email").alias("receiver_email")
-    )
-    addresses = c.address_details.select(F.col("id").alias("sheet_warehouse_id"), F.col("id").alias("address_id"))
     sheet_of = c.manifest_rtv_sheet_detail.withColumnRenamed("rtv_sheet_id", "sheet_id")
     chosen = manifests.select(
         F.col("id").alias("manifest_id"), F.col("created").alias("manifest_created"), "courier_code"
     )
-    packed = (
-        chosen.join(sheet_of, "manifest_id")
-        .join(sheets(c), "sheet_id")
-        .join(names, "sheet_warehouse_id")
+    packed = chosen.join(sheet_of, "manifest_id").join(sheets(c).select("sheet_id", "sheet_warehouse_id"), "sheet_id")
+    return packed.join(names, "sheet_warehouse_id").join(sheet_lines(c), "sheet_id", "left")
+
+
+def with_line_details(c: Catalog, lines: DataFrame) -> DataFrame:
+    """Adds what a template may show of sheet, receiver, warehouse, address and item."""
+    receivers = c.receiver_detail.select(
+        F.col("id").alias("receiver_id"), F.col("name").alias("receiver_name"), F.col("email").alias("receiver_email")
+    )
+    codes = c.warehouse.select(F.col("id").alias("sheet_warehouse_id"), F.col("code").alias("warehouse_code"))
+    addresses = c.address_details.select(F.col("id").alias("sheet_warehouse_id"), F.col("id").alias("address_id"))
+    sheet_columns = sheets(c).select("sheet_id", "receiver_id", "awb_number", "sheet_created")
+    return (
+        lines.join(sheet_columns, "sheet_id", "left")
         .join(receivers, "receiver_id", "left")
+        .join(codes, "sheet_warehouse_id", "left")
         .join(addresses, "sheet_warehouse_id", "left")
+        .join(items(c), "item_id", "left")
     )
-    return packed.join(sheet_lines(c), "sheet_id", "left").join(items(c), "item_id", "left")
 
 
 def _export(c: Catalog, manifests: DataFrame, constants: bool) -> DataFrame:
+    """Filled templates of the manifests' lines.
+
+    Lines are numbered while they carry keys only; the wide columns join afterwards.
+    Filling in constants needs no wide columns at all.
+    """
     templates = courier_templates(c.couriers)
     wanted = manifests.join(templates.select("courier_code"), "courier_code", "left_semi")
-    rows = manifest_rows(c, wanted).withColumn("serial_key", F.coalesce("item_id", "sheet_id"))
-    serial = numbered(rows, ["courier_code", "warehouse"], ["serial_key", "sheet_id", "manifest_id"])
-    filled = fill_template(serial.join(templates, "courier_code"), constants)
+    lines = manifest_lines(c, wanted).withColumn("serial_key", F.coalesce("item_id", "sheet_id"))
+    lines = numbered(lines, ["courier_code", "warehouse"], ["serial_key", "sheet_id", "manifest_id"])
+    if not constants:
+        lines = with_line_details(c, lines)
+    filled = fill_template(lines.join(templates, "courier_code"), constants)
     subject = F.concat("mail_subject", F.lit(" : "), "warehouse")
     return filled.select("courier_code", "warehouse", "sno", "cells", "to_email", "mail_body", subject.alias("subject"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,11 +11,11 @@ from retrolane.sources.schemas import RETURNS_DB, TABLES, WAREHOUSE_DB
 
 
 class Catalog:
-    """``catalog.inventory`` is the DataFrame the resolver gives for that name."""
+    """``catalog.inventory`` is the DataFrame the resolver gives for that name, resolved once."""
 
     def __init__(self, spark: SparkSession, resolve: Callable[[str], DataFrame]):
         self.spark = spark
-        self._resolve = resolve
+        self._resolve = cache(resolve)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:

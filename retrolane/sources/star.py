@@ -55,13 +55,31 @@ def ahead(column: str, days: str) -> str:
     return f"timestampadd(DAY, cast({days} as int), {column})"
 
 
+# Columns used of the given star-schema files; declared so that reading starts no inference job.
+STAR_SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING",
+    "part": "p_partkey BIGINT, p_brand STRING, p_size INT",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+}
+
+
 class _Star:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def ordered_items(self) -> DataFrame:
         """Line items with the date of their order."""
@@ -326,12 +344,10 @@ TEST_SITES = Sites(
     qc_chn=("agent8",),
 )
 
-MANIFEST_STREAM_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING"
-
 
 def manifest_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The event table read as a stream of printed manifests."""
-    events = spark.readStream.schema(MANIFEST_STREAM_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(folder)
+    events = spark.readStream.schema(STAR_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
     return events.selectExpr(
         "event_id AS id",
         "ts AS created",
