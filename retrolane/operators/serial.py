@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Enough to spread a group over a large cluster while the cut points stay a short list.
+MOST_SLICES = 512
+
+
+def _slice_of(column: str, cuts: Sequence[int]) -> Column:
+    """Position of a value among ascending cut points."""
+    if not cuts:
+        return F.lit(0)
+    place = F.when(F.col(column) <= cuts[0], 0)
+    for position, cut in enumerate(cuts[1:], 1):
+        place = place.when(F.col(column) <= cut, position)
+    return place.otherwise(len(cuts))
+
+
 def numbered(
     df: DataFrame,
     groups: Sequence[str],
@@ -25,14 +39,10 @@ def numbered(
     are a fixed, small number of quantiles read once, so both branches of the
     plan see the same slices. Group columns must not be NULL.
     """
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_SLICES)
     fractions = [step / slices for step in range(1, slices)]
     cuts = df.agg(F.percentile_approx(order[0], fractions).alias("cuts")).first()["cuts"] if fractions else []
-    slice_of = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(cut) for cut in sorted(set(cuts))])
-        slice_of = F.size(F.filter(bounds, lambda cut: cut < F.col(order[0])))
-    sliced = df.withColumn("slice", slice_of)
+    sliced = df.withColumn("slice", _slice_of(order[0], sorted(set(cuts or []))))
 
     keys = [*groups, "slice"]
     before = Window.partitionBy(*groups).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -22,15 +22,16 @@ def write_csv(df: DataFrame, root: str, report: str, clock: Clock, titles: Seque
     """
     folder = run_folder(root, report, clock)
     shown = df.toDF(*(titles or title_names([name.replace("_", " ") for name in df.columns])))
-    shown.write.mode("errorifexists").csv(
-        folder,
-        header=True,
-        nullValue="",
-        emptyValue="",
-        quote='"',
-        escape='"',
-        timestampFormat="yyyy-MM-dd HH:mm:ss",
-    )
+    options = {
+        "header": "true",
+        "nullValue": "",
+        "emptyValue": "",
+        "quote": '"',
+        "escape": '"',
+        "timestampFormat": "yyyy-MM-dd HH:mm:ss",
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+    }
+    shown.write.mode("errorifexists").options(**options).csv(folder)
     return folder
 
 
