@@ -70,6 +70,7 @@ def html_parts(
     titles: Sequence[str] | None = None,
     style: TableStyle = PLAIN,
     rows_per_part: int = ROWS_PER_PART,
+    slices: int | None = None,
 ) -> DataFrame:
     """One HTML table per key, split into parts: (key, part, parts, n_rows, body_html).
 
@@ -78,7 +79,7 @@ def html_parts(
     order gives its table: the first part opens it, the last one closes it.
     """
     head = head_html(titles or title_names(columns), style)
-    placed = numbered(df.where(F.col(key).isNotNull()), [key], order, name="sno", size="key_rows")
+    placed = numbered(df.where(F.col(key).isNotNull()), [key], order, name="sno", size="key_rows", slices=slices)
     lines = placed.select(
         key,
         F.expr(f"(sno - 1) div {rows_per_part}").alias("part"),

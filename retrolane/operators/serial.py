@@ -14,14 +14,18 @@ MOST_SLICES = 512
 
 def _slice_of(column: str, cuts: Sequence[int]) -> Column:
     """Position of a value among ascending cut points."""
-    if not cuts:
-        return F.lit(0)
     place = F.when(F.col(column) <= cuts[0], 0)
     for position, cut in enumerate(cuts[1:], 1):
         place = place.when(F.col(column) <= cut, position)
     return place.otherwise(len(cuts))
 
 
+def _ranked(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str, size: str | None) -> DataFrame:
+    whole = Window.partitionBy(*groups)
+    ranked = df.withColumn(name, F.row_number().over(whole.orderBy(*order)).cast("bigint"))
+    return ranked.withColumn(size, F.count("*").over(whole)) if size else ranked
+
+
 def numbered(
     df: DataFrame,
     groups: Sequence[str],
@@ -37,12 +41,15 @@ def numbered(
     hold about equally many rows, rows are ranked per (group, slice), and each
     slice is shifted by the row count of the slices before it. The cut points
     are a fixed, small number of quantiles read once, so both branches of the
-    plan see the same slices. Group columns must not be NULL.
+    plan see the same slices. Group columns must not be NULL. ``slices=1`` is for
+    groups known to be small and ranks them directly.
     """
     slices = slices or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_SLICES)
     fractions = [step / slices for step in range(1, slices)]
     cuts = df.agg(F.percentile_approx(order[0], fractions).alias("cuts")).first()["cuts"] if fractions else []
-    sliced = df.withColumn("slice", _slice_of(order[0], sorted(set(cuts or []))))
+    if not cuts:
+        return _ranked(df, groups, order, name, size)
+    sliced = df.withColumn("slice", _slice_of(order[0], sorted(set(cuts))))
 
     keys = [*groups, "slice"]
     before = Window.partitionBy(*groups).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

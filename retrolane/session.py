@@ -16,6 +16,8 @@ def local_session(cores: int | None = None, app: str = "retrolane") -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # let adaptive execution hash small partitions instead of sorting them
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

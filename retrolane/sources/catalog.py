@@ -26,6 +26,15 @@ class Catalog:
         """A catalog in which some tables are swapped, e.g. for a refreshed cache."""
         return Catalog(self.spark, lambda name: tables[name] if name in tables else self._resolve(name))
 
+    def create_views(self) -> None:
+        """Temporary views of all tables, for queries written in SQL."""
+        for name in TABLES:
+            self._resolve(name).createOrReplaceTempView(name)
+
+    def drop_views(self) -> None:
+        for name in TABLES:
+            self.spark.catalog.dropTempView(name)
+
 
 def from_frames(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Catalog:
     return Catalog(spark, lambda name: frames[name])
