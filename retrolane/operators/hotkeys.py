@@ -25,3 +25,31 @@ def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str) -> Da
     """
     guard = F.xxhash64(key)
     return left.withColumn(GUARD, guard).join(right.withColumn(GUARD, guard), [key, GUARD], how).drop(GUARD)
+
+
+# A key with more matching rows than this is spread over several tasks.
+ROWS_PER_SALT = 1_000_000
+
+
+def fanout_left_join(left: DataFrame, right: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Left join to a side that may hold very many rows of one key.
+
+    Adaptive execution splits the left side of a left join, never the right one.
+    So right keys with more than ``rows_per_salt`` rows are counted out and
+    salted: their rows are spread by a hash of their content, and left rows of
+    such a key are repeated once per salt. A repeated row that met nothing in
+    its salt is dropped, which is exact because a hot key has matches elsewhere.
+    At most ``rows / rows_per_salt`` keys can be hot, which bounds the broadcast.
+    """
+    hot = F.broadcast(
+        right.groupBy(key)
+        .agg(F.count("*").alias("key_rows"))
+        .where(F.col("key_rows") > rows_per_salt)
+        .select(key, F.ceil(F.col("key_rows") / rows_per_salt).cast("int").alias("salts"))
+    )
+    place = F.pmod(F.xxhash64(*right.columns), F.coalesce("salts", F.lit(1))).cast("int")
+    spread = right.join(hot, key, "left").select(*right.columns, place.alias("salt"), F.lit(True).alias("met"))
+    every_salt = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+    repeated = left.join(hot, key, "left").withColumn("salt", every_salt)
+    joined = repeated.join(spread, [key, "salt"], "left")
+    return joined.where(F.col("salts").isNull() | F.col("met")).drop("salt", "salts", "met")

@@ -20,25 +20,24 @@ def status_change(history: DataFrame, status: str) -> DataFrame:
     )
 
 
-def traceable_items(c: Catalog, barcodes: DataFrame) -> DataFrame:
-    """Returned items of the wanted barcodes that have a complaint and a package."""
-    return (
-        returned_items(c, barcodes)
-        .join(c.cc.select(F.col("id").alias("cc_id")), "cc_id", "left_semi")
-        .join(c.crp.select(F.col("id").alias("crp_id")), "crp_id", "left_semi")
-    )
+def complained_items(c: Catalog, barcodes: DataFrame) -> DataFrame:
+    """Returned items of the wanted barcodes that have a complaint."""
+    return returned_items(c, barcodes).join(c.cc.select(F.col("id").alias("cc_id")), "cc_id", "left_semi")
 
 
 def qc_history(c: Catalog, barcodes: DataFrame) -> DataFrame:
     """Every quality-check time of the wanted barcodes."""
+    packaged = complained_items(c, barcodes).join(c.crp.select(F.col("id").alias("crp_id")), "crp_id", "left_semi")
     passed = status_change(c.cri_history, "PDC").select("cri_id", F.col("created").alias("status_time"))
-    return traceable_items(c, barcodes).join(passed, "cri_id").select("barcode", "status_time")
+    return packaged.join(passed, "cri_id").select("barcode", "status_time")
 
 
 def received_history(c: Catalog, barcodes: DataFrame) -> DataFrame:
     """Every receipt time of the wanted barcodes."""
     received = status_change(c.crp_history, "RPR").select("crp_id", F.col("created").alias("status_time"))
-    return traceable_items(c, barcodes).join(received, "crp_id").select("barcode", "status_time")
+    packages = received.join(c.crp.select(F.col("id").alias("crp_id")), "crp_id", "left_semi")
+    items = complained_items(c, barcodes)
+    return splittable_join(items, packages, "crp_id", "inner").select("barcode", "status_time")
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retrolane.clock import Clock
 from retrolane.functions.labels import Sites, qc_site_label, warehouse_label
 from retrolane.functions.metrics import percent, percent_floor
+from retrolane.operators.hotkeys import fanout_left_join, splittable_join
 from retrolane.plans.funnels import rule_flags, side_by_side
 from retrolane.plans.parts import items, real_change, with_rules, with_user
 from retrolane.sources.catalog import Catalog
@@ -18,12 +19,8 @@ def received(c: Catalog, window: Column) -> DataFrame:
     arrivals = real_change(c.crp_history, "RPR").where(window)
     parcels = c.crp.select(F.col("id").alias("crp_id"))
     barcodes = c.cri.where(F.col("code").isNotNull()).select("crp_id", F.col("code").alias("barcode"))
-    return (
-        arrivals.select("crp_id", F.col("created").alias("rpr_date_time"))
-        .join(parcels, "crp_id", "left_semi")
-        .join(barcodes, "crp_id")
-        .select("barcode", "rpr_date_time")
-    )
+    known = arrivals.select("crp_id", F.col("created").alias("rpr_date_time")).join(parcels, "crp_id", "left_semi")
+    return splittable_join(barcodes, known, "crp_id", "inner").select("barcode", "rpr_date_time")
 
 
 def rpr_cohort_staging(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
@@ -31,19 +28,26 @@ def rpr_cohort_staging(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
 
 
 def _received_and_checked(c: Catalog, clock: Clock, days: int) -> DataFrame:
-    """Received items with the quality checks found for each, one row per pair."""
+    """Received items with the number of quality checks found for each, and of those with a date."""
     arrivals = real_change(c.crp_history, "RPR").where(clock.closed_days("created", days))
-    passed = real_change(c.cri_history, "PDC").select("cri_id", "status_date")
-    return (
-        arrivals.select("crp_id", F.to_date("created").alias("date"))
-        .join(c.cri.select(F.col("id").alias("cri_id"), "crp_id"), "crp_id")
-        .join(passed, "cri_id", "left")
+    passed = real_change(c.cri_history, "PDC").groupBy("cri_id").agg(
+        F.count("*").alias("checks"), F.count("status_date").alias("dated_checks")
+    )
+    return splittable_join(
+        arrivals.select("crp_id", F.to_date("created").alias("date")).join(
+            c.cri.select(F.col("id").alias("cri_id"), "crp_id"), "crp_id"
+        ),
+        passed,
+        "cri_id",
+        "left",
     )
 
 
 def _qc_share(rows: DataFrame, *keys: str) -> DataFrame:
+    """Items are counted once per quality check found, and once when none was found."""
     counted = rows.groupBy(*keys).agg(
-        F.count("*").alias("total_rpr"), F.count_if(F.col("status_date").isNotNull()).alias("total_qc")
+        F.sum(F.coalesce("checks", F.lit(1))).alias("total_rpr"),
+        F.sum(F.coalesce("dated_checks", F.lit(0))).alias("total_qc"),
     )
     return counted.withColumn("pct_qc", percent("total_qc", "total_rpr"))
 
@@ -62,7 +66,7 @@ def rpr_cohort_putaway(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
     """
     cohort = rpr_cohort_staging(c, clock, days)
     stock = items(c).select("item_id", "barcode", "rule_id", "is_bulk_rule", "status")
-    rows = with_rules(c, cohort.join(stock, "barcode", "left")).withColumn("date", F.to_date("rpr_date_time"))
+    rows = with_rules(c, fanout_left_join(cohort, stock, "barcode")).withColumn("date", F.to_date("rpr_date_time"))
     per_item = rows.groupBy("date", "item_id").agg(
         F.count("*").alias("rows"),
         F.count_if(F.col("status") == "RTV").alias("returned"),

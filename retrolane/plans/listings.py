@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from retrolane.clock import Clock, moment
 from retrolane.functions.text import same_text, text_or_empty, yes_no
+from retrolane.operators.hotkeys import distinct_keys, fanout_left_join, splittable_join
 from retrolane.operators.lookup import with_customer
 from retrolane.plans.parts import (
-    bulk_rule_first,
     dispatched,
     items,
-    normal_rule_first,
     sheet_lines,
     sheets,
     with_gate_pass,
@@ -42,8 +41,8 @@ def rule_listing(c: Catalog, rule_name: str, since: datetime) -> DataFrame:
     rule = c.rules.where(same_text(F.col("rule_name"), rule_name)).select(F.col("id").alias("rule_id"))
     recent = sheets(c).where(F.col("sheet_created") > moment(since)).select("sheet_id")
     ruled = items(c).join(rule, "rule_id")
-    rows = dispatched(c, recent, ruled)
-    rows = with_gate_pass(c, with_user(c, rows.withColumnRenamed("created_by_id", "user_id"), "user_id"))
+    rows = dispatched(c, recent, with_gate_pass(c, ruled))
+    rows = with_user(c, rows.withColumnRenamed("created_by_id", "user_id"), "user_id")
     rows = rows.select(
         "putaway_date", "suborder_code", "sheet_id", "barcode", "issue_category", "product_name",
         "forward_awb_number", "seller_name", "vendor_code", "gate_pass_date", "username",
@@ -61,19 +60,23 @@ def liquidation_listing(c: Catalog, since: datetime) -> DataFrame:
 
     Rules are matched by number in both rule tables, whatever the bulk flag says.
     """
-    normal = c.rules.select(F.col("id").alias("normal_rule_id"), F.col("rule_name").alias("normal_rule"))
-    bulk = c.bulk_upload_rules.select(F.col("id").alias("bulk_rule_id"), F.col("rule_name").alias("bulk_rule"))
+    normal = c.rules.select(F.col("id").alias("rule_id"), F.col("rule_name").alias("normal_rule"))
+    bulk = c.bulk_upload_rules.select(
+        F.col("id").alias("rule_id"), F.col("rule_name").alias("bulk_rule"), F.lit(True).alias("has_bulk")
+    )
     ruled = (
         items(c)
         .where(F.col("putaway_date") > moment(since))
-        .join(normal, F.col("normal_rule_id") == F.col("rule_id"), "left")
-        .join(bulk, F.col("bulk_rule_id") == F.col("rule_id"), "left")
+        .join(normal, "rule_id", "left")
+    )
+    ruled = (
+        splittable_join(ruled, bulk, "rule_id", "left")
         .where(
             same_text(F.col("bulk_rule"), *LIQUIDATION_BULK_RULES) | same_text(F.col("normal_rule"), *LIQUIDATION_RULES)
         )
-        .withColumn("rule_name", bulk_rule_first())
+        .withColumn("rule_name", F.when(F.col("has_bulk"), F.col("bulk_rule")).otherwise(F.col("normal_rule")))
     )
-    rows = ruled.join(sheet_lines(c), "item_id", "left")
+    rows = fanout_left_join(ruled, sheet_lines(c), "item_id")
     rows = with_gate_pass(c, with_user(c, rows.withColumnRenamed("created_by_id", "user_id"), "user_id"))
     rows = rows.select(
         "putaway_date", "rule_name", "suborder_code", "sheet_id", "barcode", "issue_category",
@@ -88,6 +91,14 @@ def liquidation_listing(c: Catalog, since: datetime) -> DataFrame:
     )
 
 
+def latest_dispatch(c: Catalog, wanted: DataFrame) -> DataFrame:
+    """Per wanted item the sheet dispatched last, so that many dispatches of one item stay one row."""
+    lines = splittable_join(sheet_lines(c), distinct_keys(wanted, "item_id"), "item_id", "left_semi")
+    sent = lines.join(sheets(c).select("sheet_id", "dispatch_date", "sheet_courier"), "sheet_id")
+    latest = F.max(F.struct(F.col("dispatch_date").alias("rtv_date"), "sheet_id", "sheet_courier")).alias("latest")
+    return sent.groupBy("item_id").agg(latest).select("item_id", "latest.*")
+
+
 def putaway_master(c: Catalog, clock: Clock, days: int = 1) -> DataFrame:
     """One row per barcode put away in the window, showing its latest dispatch.
 
@@ -95,24 +106,14 @@ def putaway_master(c: Catalog, clock: Clock, days: int = 1) -> DataFrame:
     sheet number and then to the lower item number.
     """
     recent = items(c).where(clock.closed_days("putaway_date", days))
-    rows = with_rules(c, recent).withColumn("rule_name", normal_rule_first())
-    rows = with_user(c, rows.withColumnRenamed("created_by_id", "user_id"), "user_id")
+    rows = with_user(c, with_rules(c, recent).withColumnRenamed("created_by_id", "user_id"), "user_id")
     rows = with_warehouse(c, rows, "item_warehouse_id")
-    rows = rows.join(sheet_lines(c), "item_id", "left").join(
-        sheets(c).select("sheet_id", "dispatch_date", "sheet_courier"), "sheet_id", "left"
-    )
+    rows = splittable_join(rows, latest_dispatch(c, recent), "item_id", "left")
     shown = (
         "putaway_date", "forward_awb_number", "suborder_code", "issue_category", "rule_name", "status",
         "product_name", "price", "sheet_courier", "username", "warehouse_code",
     )
-    latest = F.max(
-        F.struct(
-            F.col("dispatch_date").alias("rtv_date"),
-            F.when(F.col("dispatch_date").isNotNull(), F.col("sheet_id")).alias("sheet_id"),
-            (-F.col("item_id")).alias("reversed_item_id"),
-            *shown,
-        )
-    )
+    latest = F.max(F.struct("rtv_date", "sheet_id", (-F.col("item_id")).alias("reversed_item_id"), *shown))
     one = rows.groupBy("barcode").agg(latest.alias("latest")).select("barcode", "latest.*")
     full = with_customer(c, one, asked=recent)
     return full.select(

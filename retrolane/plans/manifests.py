@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retrolane.clock import Clock
+from retrolane.operators.hotkeys import fanout_left_join
 from retrolane.operators.serial import numbered
 from retrolane.operators.template import courier_templates, fill_template
 from retrolane.plans.parts import items, sheet_lines, sheets
@@ -26,7 +27,7 @@ def manifest_lines(c: Catalog, manifests: DataFrame) -> DataFrame:
         F.col("id").alias("manifest_id"), F.col("created").alias("manifest_created"), "courier_code"
     )
     packed = chosen.join(sheet_of, "manifest_id").join(sheets(c).select("sheet_id", "sheet_warehouse_id"), "sheet_id")
-    return packed.join(names, "sheet_warehouse_id").join(sheet_lines(c), "sheet_id", "left")
+    return fanout_left_join(packed.join(names, "sheet_warehouse_id"), sheet_lines(c), "sheet_id")
 
 
 def with_line_details(c: Catalog, lines: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ partitions at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retrolane.operators.hotkeys import fanout_left_join, splittable_join
 from retrolane.sources.catalog import Catalog
 
 
@@ -39,26 +40,22 @@ def sheet_lines(c: Catalog) -> DataFrame:
 
 def dispatched(c: Catalog, wanted_sheets: DataFrame, wanted_items: DataFrame) -> DataFrame:
     """Items on dispatch sheets; the (usually windowed) sheets come first so that they cut the lines early."""
-    return wanted_sheets.join(sheet_lines(c), "sheet_id").join(wanted_items, "item_id")
+    return splittable_join(sheet_lines(c), wanted_sheets, "sheet_id", "inner").join(wanted_items, "item_id")
 
 
 def with_rules(c: Catalog, rows: DataFrame) -> DataFrame:
-    """Adds the normal or the bulk rule; an item whose bulk flag is unknown gets neither."""
-    normal = c.rules.select(F.col("id").alias("normal_rule_id"), F.col("rule_name").alias("normal_rule"))
-    bulk = c.bulk_upload_rules.select(F.col("id").alias("bulk_rule_id"), F.col("rule_name").alias("bulk_rule"))
-    rule, flag = F.col("rule_id"), F.col("is_bulk_rule")
-    return rows.join(normal, (F.col("normal_rule_id") == rule) & (flag != 1), "left").join(
-        bulk, (F.col("bulk_rule_id") == rule) & (flag == 1), "left"
-    )
-
-
-def normal_rule_first() -> Column:
-    return F.when(F.col("normal_rule_id").isNotNull(), F.col("normal_rule")).otherwise(F.col("bulk_rule"))
-
-
-def bulk_rule_first() -> Column:
-    return F.when(F.col("bulk_rule_id").isNotNull(), F.col("bulk_rule")).when(
-        F.col("normal_rule_id").isNotNull(), F.col("normal_rule")
+    """Adds ``rule_name`` and, split by kind, ``normal_rule`` and ``bulk_rule``.
+
+    The bulk flag decides which rule table a number refers to, so both tables
+    form one dimension keyed by number and kind. An item whose flag is unknown
+    gets no rule.
+    """
+    normal = c.rules.select(F.col("id").alias("rule_id"), F.lit(0).alias("bulk"), "rule_name")
+    bulk = c.bulk_upload_rules.select(F.col("id").alias("rule_id"), F.lit(1).alias("bulk"), "rule_name")
+    kind = (F.col("is_bulk_rule") == 1).cast("int")
+    named = rows.withColumn("bulk", kind).join(normal.unionByName(bulk), ["rule_id", "bulk"], "left")
+    return named.withColumn("normal_rule", F.when(F.col("bulk") == 0, F.col("rule_name"))).withColumn(
+        "bulk_rule", F.when(F.col("bulk") == 1, F.col("rule_name"))
     )
 
 
@@ -73,7 +70,8 @@ def with_warehouse(c: Catalog, rows: DataFrame, key: str, how: str = "inner") ->
 
 def with_gate_pass(c: Catalog, rows: DataFrame) -> DataFrame:
     """Adds gate-pass dates; an item with several passes appears once per pass."""
-    return rows.join(c.gate_pass.select("barcode", F.col("created").alias("gate_pass_date")), "barcode", "left")
+    passes = c.gate_pass.where(F.col("barcode").isNotNull())
+    return fanout_left_join(rows, passes.select("barcode", F.col("created").alias("gate_pass_date")), "barcode")
 
 
 def real_change(history: DataFrame, status: str) -> DataFrame:

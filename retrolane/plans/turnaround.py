@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from retrolane.clock import Clock
 from retrolane.functions.labels import Sites, detail_warehouse_label, qc_site_label, warehouse_label
 from retrolane.functions.metrics import bucket_names, item_buckets, percent_one_decimal, row_buckets
-from retrolane.operators.hotkeys import distinct_keys, splittable_join
+from retrolane.operators.hotkeys import distinct_keys, fanout_left_join, splittable_join
 from retrolane.operators.readthrough import Milestone, status_change
 from retrolane.operators.totals import named_total, per_item_with_total
 from retrolane.plans.parts import (
     dispatched,
     items,
-    normal_rule_first,
     sheets,
     with_rules,
     with_user,
@@ -43,14 +42,14 @@ def to_dispatch_detail(c: Catalog, clock: Clock, sites: Sites, milestone: Milest
     rows = _recent_dispatches(c, clock, days)
     dates = milestone.resolve(c, distinct_keys(rows, "barcode"))
 
-    wide = with_rules(c, rows).withColumn("rule_name", normal_rule_first())
-    wide = with_warehouse(c, with_user(c, wide, "user_id", "left"), "sheet_warehouse_id", "left")
+    wide = with_user(c, with_rules(c, rows), "user_id", "left")
+    wide = with_warehouse(c, wide, "sheet_warehouse_id", "left")
     label = F.coalesce(detail_warehouse_label("username", "item_warehouse_id", sites), F.col("warehouse_code"))
     wide = wide.withColumn("warehouse", label).select(
         "barcode", "suborder_code", "issue_category", "putaway_date", "dispatch_date", "rule_name", "username",
         "warehouse_code", "warehouse",
     )
-    return splittable_join(wide, dates, "barcode", "left").select(
+    return fanout_left_join(wide, dates, "barcode").select(
         "suborder_code", "issue_category", "putaway_date", "dispatch_date",
         F.col("status_time").alias(milestone.date_column), "rule_name", "username", "warehouse_code", "warehouse",
     )
@@ -113,15 +112,14 @@ def rpr_to_qc_summary(c: Catalog, clock: Clock, sites: Sites, days: int = 7) ->
     passed = status_change(c.cri_history, "PDC").where(clock.closed_days("status_date", days))
     received = status_change(c.crp_history, "RPR").select("crp_id", F.col("created").alias("received_at"))
     site = F.coalesce(qc_site_label("updated_by", "returns_center_code", sites), F.col("updated_by"))
-    parcels = c.crp.select(F.col("id").alias("crp_id"), site.alias("qc_warehouse"))
-    rows = (
+    parcels = c.crp.select(F.col("id").alias("crp_id"), site.alias("qc_warehouse")).join(received, "crp_id")
+    checked = (
         passed.select("cri_id", "status_date")
         .join(c.cri.select(F.col("id").alias("cri_id"), "crp_id", "cc_id"), "cri_id")
         .join(c.cc.select(F.col("id").alias("cc_id")), "cc_id", "left_semi")
-        .join(parcels, "crp_id")
-        .join(received, "crp_id")
-        .withColumn("elapsed", F.datediff("status_date", "received_at"))
     )
+    rows = splittable_join(checked, parcels, "crp_id", "inner")
+    rows = rows.withColumn("elapsed", F.datediff("status_date", "received_at"))
     names = bucket_names()
     per_site = rows.groupBy("qc_warehouse").agg(F.count("*").alias("total_qc"), *row_buckets(F.col("elapsed")))
     summed = per_site.rollup("qc_warehouse").agg(

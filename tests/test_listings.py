@@ -1,5 +1,5 @@
 from retrolane.clock import Clock
-from retrolane.operators.hotkeys import distinct_keys, splittable_join
+from retrolane.operators.hotkeys import distinct_keys, fanout_left_join, splittable_join
 from retrolane.plans.listings import liquidation_listing, putaway_master, rtv_data, rule_listing
 from tests.conftest import at, dicts
 
@@ -120,3 +120,13 @@ SKEW = {
 def test_distinct_keys_leave_out_null(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,)], "k STRING")
     assert [row["k"] for row in distinct_keys(df, "k").collect()] == ["a"]
+
+
+def test_fanout_join_equals_a_left_join_when_keys_are_hot_on_either_side(spark):
+    left = spark.createDataFrame([("hot", n) for n in range(5)] + [("a", 9), ("none", 8), (None, 7)], "k STRING, l INT")
+    right = spark.createDataFrame([("hot", n) for n in range(40)] + [("a", 1), ("a", 2), (None, 3)], "k STRING, r INT")
+    plain = sorted(map(str, left.join(right, "k", "left").collect()))
+    for rows_per_salt in (1, 7, 1000):
+        joined = fanout_left_join(left, right, "k", rows_per_salt)
+        assert joined.columns == ["k", "l", "r"]
+        assert sorted(map(str, joined.collect())) == plain
