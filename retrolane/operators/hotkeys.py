@@ -31,7 +31,13 @@ def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str) -> Da
 ROWS_PER_SALT = 1_000_000
 
 
-def fanout_left_join(left: DataFrame, right: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+def fanout_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    rows_per_salt: int = ROWS_PER_SALT,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Left join to a side that may hold very many rows of one key.
 
     Adaptive execution splits the left side of a left join, never the right one.
@@ -40,9 +46,13 @@ def fanout_left_join(left: DataFrame, right: DataFrame, key: str, rows_per_salt:
     such a key are repeated once per salt. A repeated row that met nothing in
     its salt is dropped, which is exact because a hot key has matches elsewhere.
     At most ``rows / rows_per_salt`` keys can be hot, which bounds the broadcast.
+
+    ``counted`` may stand in for ``right`` when counting, if it is cheaper and
+    every key of it that occurs in ``left`` also occurs in ``right``.
     """
     hot = F.broadcast(
-        right.groupBy(key)
+        (right if counted is None else counted)
+        .groupBy(key)
         .agg(F.count("*").alias("key_rows"))
         .where(F.col("key_rows") > rows_per_salt)
         .select(key, F.ceil(F.col("key_rows") / rows_per_salt).cast("int").alias("salts"))

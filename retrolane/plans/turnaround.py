@@ -49,7 +49,7 @@ def to_dispatch_detail(c: Catalog, clock: Clock, sites: Sites, milestone: Milest
         "barcode", "suborder_code", "issue_category", "putaway_date", "dispatch_date", "rule_name", "username",
         "warehouse_code", "warehouse",
     )
-    return fanout_left_join(wide, dates, "barcode").select(
+    return fanout_left_join(wide, dates, "barcode", counted=milestone.cached(c)).select(
         "suborder_code", "issue_category", "putaway_date", "dispatch_date",
         F.col("status_time").alias(milestone.date_column), "rule_name", "username", "warehouse_code", "warehouse",
     )
