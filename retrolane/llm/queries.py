@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retrolane.llm import bpe
+from retrolane.llm import bpe, toxicity
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -21,8 +22,16 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = toxicity.tag(docs, model, spans=False)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "toxic_tokens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
