@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retrolane.llm import bpe, toxicity
+from retrolane.llm import bpe, jaccard, toxicity
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -29,9 +29,14 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "toxic_tokens")
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link(table(spark, folder, "documents"), words=3, percent=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op7_toxicity": op7_toxicity,
+    "op9_jaccard": op9_jaccard,
 }
 
 ORACLE: dict[str, str] = {}
