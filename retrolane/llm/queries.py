@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retrolane.llm import bpe, jaccard, toxicity
+from retrolane.llm import bpe, jaccard, repeats, toxicity
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -33,10 +33,15 @@ def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link(table(spark, folder, "documents"), words=3, percent=90)
 
 
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove(table(spark, folder, "documents"), min_bytes=50, kept=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op7_toxicity": op7_toxicity,
     "op9_jaccard": op9_jaccard,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE: dict[str, str] = {}
