@@ -4,8 +4,8 @@ Copies of a set become one class first. Every class then goes to one tile per sh
 prefix: the rarest n - ceil(s * n) + 1 of its n shingles in one global order, which any two sets
 of similarity s share. Inside a tile two sets are compared if their sizes allow the similarity and
 their bitmaps do: bit b of a bitmap says whether an odd number of the shingles hash to b, so
-differing bits bound the symmetric difference from below and the overlap from above. What passes
-is decided by intersecting the exact sorted arrays.
+differing bits bound the symmetric difference from below and the overlap from above. Tiles carry 128
+bits; pairs that pass are held to bitmaps as wide as the sets are large. What still passes is decided by intersecting the exact sorted arrays.
 
 Large tiles are compared in two rounds. The first pairs each set with the first and the next one
 of the tile by size. Its links give components; the second round deals the tile out by size band
@@ -27,7 +27,7 @@ from retrolane.llm.common import components, stage
 
 LOWER = bytes(byte + 32 if 65 <= byte <= 90 else byte for byte in range(256))
 MOST_WORDS = 500_000  # word hashes that a task remembers
-SMALL_TILE = 8  # tiles up to this size are compared whole at once
+SMALL_TILE = 3  # tiles up to this size are compared whole at once
 HEAVY_SHARE = 250  # a shingle in one of so many documents of a batch may count as frequent
 MOST_HEAVY = 50_000  # frequent shingles told to every task; the others count as rare
 MOST_TOLD = 4_000_000  # document ids told to every task; beyond that they are joined
@@ -75,6 +75,23 @@ def parity(shingles: np.ndarray) -> tuple[int, int]:
     return low, high
 
 
+def wide_parity(shingles: np.ndarray) -> bytes:
+    """A bitmap like parity's with at least as many bits as the set has elements, a power of two."""
+    width = max(128, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else 128
+    bits = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (width - 1), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def apart(left: bytes, right: bytes) -> int:
+    """Bits in which two wide bitmaps differ; the wider one is folded, which keeps parity."""
+    x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -113,7 +130,7 @@ def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
         shingler = Shingler(words)
         names, times = heavy.value
         for batch in _pieces(batches):
-            sizes, sets, bits, prefixes = [], [], [], []
+            sizes, sets, bits, prefixes, wide = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingler(text)
                 n = len(found)
@@ -121,6 +138,7 @@ def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 sizes.append(n)
                 sets.append(np.frombuffer(digest, np.int64).tolist())
                 bits.append(parity(found))
+                wide.append(wide_parity(found))
                 long = n - least_overlap(n, percent) + 1 if n else 0
                 if len(names) and n:
                     at = np.minimum(np.searchsorted(names, found), len(names) - 1)
@@ -135,11 +153,12 @@ def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     *(pa.array([s[i] for s in sets], pa.int64()) for i in (0, 1)),
                     *(pa.array([b[i] for b in bits], pa.int64()) for i in (0, 1)),
                     pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(wide, pa.binary()),
                 ],
-                ["doc_id", "n", "set_a", "set_b", "bits_a", "bits_b", "prefix"],
+                ["doc_id", "n", "set_a", "set_b", "bits_a", "bits_b", "prefix", "wide"],
             )
 
-    schema = "doc_id long, n long, set_a long, set_b long, bits_a long, bits_b long, prefix array<long>"
+    schema = "doc_id long, n long, set_a long, set_b long, bits_a long, bits_b long, prefix array<long>, wide binary"
     return docs.select("doc_id", "text").mapInArrow(rows, schema)
 
 
@@ -280,6 +299,24 @@ def _arrays(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return named.mapInArrow(rows, "doc_id long, shingles binary")
 
 
+def _close(pairs: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the wide bitmaps leave room for."""
+    left, right = (
+        firsts.select(F.col("doc_id").alias(name), F.struct("n", "wide").alias(f"of_{name}")) for name in ("a", "b")
+    )
+    sides = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True):
+                most = (100 - percent) * (x["n"] + y["n"])
+                keep.append(apart(x["wide"], y["wide"]) * (100 + percent) <= most)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return sides.mapInArrow(rows, "a long, b long").distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose sorted arrays intersect enough."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -315,10 +352,11 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     sets = sets.agg(F.min("doc_id").alias("first"))
     joined = marks.where("n > 0").join(sets, ["set_a", "set_b"])
     firsts = joined.where("doc_id = first").dropDuplicates(["set_a", "set_b"])
+    firsts = stage(firsts.select("doc_id", "n", "bits_a", "bits_b", "prefix", "wide"), "firsts")
     tiles = firsts.select(F.explode("prefix").alias("key"), "n", "doc_id", "bits_a", "bits_b")
     tiles = tiles.repartition("key").sortWithinPartitions("key", "n", "doc_id")
     found = stage(_first_round(tiles, percent), "tiles")
-    pairs = found.where("b is not null").select("a", "b").distinct()
+    pairs = _close(found.where("b is not null").select("a", "b").distinct(), firsts, percent)
     links = stage(_verified(stage(pairs, "pairs"), named, words, percent), "links")
     known = stage(components(links), "known")
 
@@ -331,7 +369,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     large = large.withColumn("band", F.col("band") - F.col("guest"))
     large = large.select("key", "band", "guest", "doc_id", "n", "bits_a", "bits_b", "component")
     large = large.repartition("key", "band").sortWithinPartitions("key", "band", "guest", "n", "doc_id")
-    more = stage(_second_round(large, percent).distinct(), "pairs")
+    more = stage(_close(_second_round(large, percent).distinct(), firsts, percent), "pairs")
     if not more.isEmpty():
         links = links.unionByName(stage(_verified(more, named, words, percent), "links"))
         known = stage(components(links), "known")
