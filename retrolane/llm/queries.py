@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retrolane.llm import bpe, jaccard, repeats, toxicity
+from retrolane.llm import bpe, decontaminate, jaccard, lines, repeats, toxicity
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -22,6 +22,11 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, folder, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"))
@@ -29,6 +34,11 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "toxic_tokens")
 
 
+def op8_lines(spark: SparkSession, folder: str) -> DataFrame:
+    out = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link(table(spark, folder, "documents"), words=3, percent=90)
 
@@ -39,7 +49,9 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op4_decontaminate": op4_decontaminate,
     "op7_toxicity": op7_toxicity,
+    "op8_lines": op8_lines,
     "op9_jaccard": op9_jaccard,
     "op10_repeats": op10_repeats,
 }
