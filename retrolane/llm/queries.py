@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retrolane.llm import bpe, decontaminate, jaccard, lines, repeats, toxicity
+from retrolane.llm import bpe, decontaminate, embeddings, jaccard, lines, repeats, toxicity
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"), least=0.95)
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
@@ -48,6 +52,7 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embeddings": op1_embeddings,
     "op2_bpe": op2_bpe,
     "op4_decontaminate": op4_decontaminate,
     "op7_toxicity": op7_toxicity,
