@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retrolane.llm import bpe, decontaminate, embeddings, jaccard, lines, repeats, toxicity
+from retrolane.llm import bpe, decontaminate, embeddings, html, jaccard, lines, repeats, toxicity, urls
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -31,6 +31,14 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(docs, table(spark, folder, "benchmark"))
 
 
+def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages").select("page_id", "url"), rules=urls.RULES).drop("url")
+
+
+def op6_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"))
@@ -55,10 +63,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_bpe": op2_bpe,
     "op4_decontaminate": op4_decontaminate,
+    "op5_urls": op5_urls,
+    "op6_html": op6_html,
     "op7_toxicity": op7_toxicity,
     "op8_lines": op8_lines,
     "op9_jaccard": op9_jaccard,
     "op10_repeats": op10_repeats,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_urls": urls.oracle_sql(),
+}
