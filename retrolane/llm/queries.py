@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retrolane.llm import bpe, decontaminate, embeddings, html, jaccard, lines, repeats, toxicity, urls
+from retrolane.llm import bpe, decontaminate, embeddings, html, jaccard, lines, repeats, toolcalls, toxicity, urls
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -26,6 +26,11 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op3_toolcalls(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = toolcalls.turns_as_calls(table(spark, folder, "conversations"))
+    return toolcalls.link(calls, results, {"reply": toolcalls.REPLY}).drop("faults")
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.leaks(docs, table(spark, folder, "benchmark"))
@@ -62,6 +67,7 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_bpe": op2_bpe,
+    "op3_toolcalls": op3_toolcalls,
     "op4_decontaminate": op4_decontaminate,
     "op5_urls": op5_urls,
     "op6_html": op6_html,
@@ -72,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_toolcalls": toolcalls.ORACLE,
     "op5_urls": urls.oracle_sql(),
 }
