@@ -91,7 +91,9 @@ def _digest(
     heads = rows.groupBy(key).agg(F.count("*").alias("n_items"), first)
     addresses = receiver_addresses(c, heads.select("sought"), inventory_key)
     to_email = recipients(F.col("primary_email"), F.col("alternate_email"), report_address(c, report))
-    return heads.join(addresses, "sought", "left").select(key, "n_items", to_email.alias("to_email"))
+    found = heads.join(addresses.withColumn("found", F.lit(True)), "sought", "left")
+    # without a receiver nothing is mailed, not even to the report's own address
+    return found.select(key, "n_items", F.when(F.col("found"), to_email).alias("to_email"))
 
 
 def center_digest(c: Catalog, clock: Clock, days: int = 1) -> DataFrame:

@@ -79,10 +79,32 @@ def manifest_on_print(c: Catalog, clock: Clock, minutes: int = 10) -> DataFrame:
     return _export(c, c.manifest.where(pending(clock, minutes)), constants=True)
 
 
-def manifest_flags_after(c: Catalog, clock: Clock, minutes: int = 10) -> DataFrame:
-    """The manifest table with the flag of the just exported manifests taken down."""
-    sent = pending(clock, minutes)
-    return c.manifest.withColumn("is_email_sent", F.when(sent, F.lit(0)).otherwise(F.col("is_email_sent")))
+def on_print_export(c: Catalog, manifests: DataFrame) -> DataFrame:
+    """The given manifests, filled with the template's constants."""
+    return _export(c, manifests, constants=True)
+
+
+def manifest_flags_after(c: Catalog, clock: Clock, minutes: int | None = None) -> DataFrame:
+    """The manifest table after the mails: flags of enabled couriers with a template taken down.
+
+    All raised flags of such couriers go down, as the mail run resets a courier as a whole. With
+    ``minutes`` only those of manifests printed within them do, so that older ones stay to be mailed.
+    """
+    sent = F.col("is_email_sent") == 1 if minutes is None else pending(clock, minutes)
+    mailed = courier_templates(c.couriers).select("courier_code").distinct().withColumn("mailed", F.lit(True))
+    flag = F.when(sent & F.col("mailed"), F.lit(0)).otherwise(F.col("is_email_sent"))
+    return c.manifest.join(mailed, "courier_code", "left").select(
+        *[flag.alias(name) if name == "is_email_sent" else F.col(name) for name in c.manifest.columns]
+    )
+
+
+def manifest_flags_raised(c: Catalog) -> DataFrame:
+    """The manifest table after the daily export: flags of enabled couriers with a template are up."""
+    mailed = courier_templates(c.couriers).select("courier_code").distinct().withColumn("mailed", F.lit(True))
+    flag = F.when(F.col("mailed"), F.lit(1)).otherwise(F.col("is_email_sent"))
+    return c.manifest.join(mailed, "courier_code", "left").select(
+        *[flag.alias(name) if name == "is_email_sent" else F.col(name) for name in c.manifest.columns]
+    )
 
 
 def long_form(export: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,17 @@ def local_session(cores: int | None = None, app: str = "retrolane") -> SparkSess
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the cluster names for checkpoints and written stages."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints and written stages.
+
+    Only a local session, whose driver and executors are one process, gets a folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="retrolane-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder

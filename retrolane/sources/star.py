@@ -203,13 +203,7 @@ class _Star:
         )
 
     def manifest(self) -> DataFrame:
-        return self.read("events").selectExpr(
-            "event_id AS id",
-            "ts AS created",
-            "ts AS updated",
-            courier_code("(user_id % 25)") + " AS courier_code",
-            "CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS is_email_sent",
-        )
+        return manifests(self.read("events"))
 
     def manifest_rtv_sheet_detail(self) -> DataFrame:
         return self.read("events").selectExpr("event_id AS manifest_id", "event_id AS rtv_sheet_id")
@@ -324,6 +318,17 @@ class _Star:
         )
 
 
+def manifests(events: DataFrame) -> DataFrame:
+    """Events as printed manifests."""
+    return events.selectExpr(
+        "event_id AS id",
+        "ts AS created",
+        "ts AS updated",
+        courier_code("(user_id % 25)") + " AS courier_code",
+        "CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS is_email_sent",
+    )
+
+
 def from_star(spark: SparkSession, folder: str) -> Catalog:
     star = _Star(spark, folder)
     return Catalog(spark, lambda name: getattr(star, name)())
@@ -345,12 +350,7 @@ TEST_SITES = Sites(
 )
 
 
-def manifest_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table read as a stream of printed manifests."""
-    events = spark.readStream.schema(STAR_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
-    return events.selectExpr(
-        "event_id AS id",
-        "ts AS created",
-        courier_code("(user_id % 25)") + " AS courier_code",
-        "user_id % 11 AS warehouse_id",
-    )
+def manifest_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
+    """The event table read as a stream of printed manifests, a bounded number of files at a time."""
+    reader = spark.readStream.schema(STAR_SCHEMAS["events"]).option("maxFilesPerTrigger", files_per_batch)
+    return manifests(reader.option("pathGlobFilter", "events.parquet").parquet(folder))

@@ -1,8 +1,9 @@
 """Newly printed manifests as a stream.
 
-The flag that marks a manifest as not yet mailed becomes the stream's own
-progress: each manifest is taken once, by deduplication within the watermark,
-and the checkpoint remembers what has been taken.
+Every batch takes the manifests whose mail flag is up, of couriers that are enabled and have a
+template, and writes their filled templates and their ten-minute windows. A manifest is taken once:
+batches leave out what earlier batches have written, however late a repeated row arrives, and no
+row is dropped for being late. A batch that is run again overwrites its own folder.
 """
 
 from __future__ import annotations
@@ -11,45 +12,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-DEFAULT_DELAY = "10 minutes"
+from retrolane.operators.template import courier_templates
+from retrolane.plans.manifests import long_form, manifest_lines, on_print_export
+from retrolane.sources.catalog import Catalog
 
+TAKEN = "id BIGINT, created TIMESTAMP_NTZ, courier_code STRING, batch BIGINT"
+CELLS = "courier_code STRING, warehouse STRING, sno BIGINT, pos INT, title STRING, value STRING, batch BIGINT"
+WINDOWS = "manifest_id BIGINT, window_start TIMESTAMP_NTZ, courier_code STRING, warehouse STRING, batch BIGINT"
 
-def new_manifests(source: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Each manifest once, with the ten-minute window it was printed in.
 
-    ``source`` is a stream of manifest rows. Files must arrive roughly in time
-    order; a row later than ``delay`` behind the newest one seen is dropped.
-    """
-    timed = source.withColumn("created", F.col("created").cast("timestamp")).withWatermark("created", delay)
-    once = timed.dropDuplicatesWithinWatermark(["id"])
-    return once.withColumn("window_start", F.window("created", "10 minutes")["start"])
+def due(manifests: DataFrame, couriers: DataFrame) -> DataFrame:
+    """Manifests to mail: flag up, courier enabled and with a template."""
+    codes = courier_templates(couriers).select("courier_code")
+    return manifests.where("is_email_sent = 1").join(codes, "courier_code", "left_semi")
 
 
-def window_counts(source: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Distinct manifests per closed ten-minute window, courier and warehouse."""
-    timed = source.withColumn("created", F.col("created").cast("timestamp")).withWatermark("created", delay)
-    once = timed.dropDuplicatesWithinWatermark(["id"])
-    return (
-        once.groupBy(F.window("created", "10 minutes"), "courier_code", "warehouse_id")
-        .agg(F.count("*").alias("manifests"))
-        .select(F.col("window.start").alias("window_start"), "courier_code", "warehouse_id", "manifests")
+def take_batch(c: Catalog, batch: DataFrame, number: int, folder: str) -> None:
+    """Writes one batch: the manifests taken, their cells and their windows."""
+    spark = c.spark
+    new = due(batch, c.couriers).dropDuplicates(["id"]).select("id", "created", "courier_code")
+    if number:
+        before = spark.read.schema(TAKEN).parquet(f"{folder}/taken").where(F.col("batch") < number)
+        new = new.join(before.select("id"), "id", "left_anti")
+    place = f"batch={number}"
+    new.write.mode("overwrite").parquet(f"{folder}/taken/{place}")
+    new = spark.read.schema(TAKEN).parquet(f"{folder}/taken/{place}").drop("batch")
+    cells = long_form(on_print_export(c, new))
+    cells.write.mode("overwrite").parquet(f"{folder}/cells/{place}")
+    start = F.expr("date_trunc('HOUR', manifest_created) + make_dt_interval(0, 0, 10 * floor(minute(manifest_created) / 10))")
+    windows = manifest_lines(c, new).select(
+        "manifest_id", start.cast("timestamp_ntz").alias("window_start"), "courier_code", "warehouse"
     )
+    windows.distinct().write.mode("overwrite").parquet(f"{folder}/windows/{place}")
+
 
+def run_stream(c: Catalog, source: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Works off what has arrived since the last run. Both folders must be shared by all executors.
 
-def write_stream(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Appends a stream to Parquet files; file commits and checkpoint make reruns add nothing twice."""
+    The source's own options bound how many files a batch takes.
+    """
     return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", folder)
+        source.writeStream.foreachBatch(lambda batch, number: take_batch(c, batch, number, folder))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def counts_written(spark: SparkSession, folder: str) -> DataFrame:
-    """Manifests per window, courier and warehouse, from what the stream has written so far."""
-    schema = "id BIGINT, created TIMESTAMP, courier_code STRING, warehouse_id BIGINT, window_start TIMESTAMP"
-    written = spark.read.schema(schema).parquet(folder)
-    return written.groupBy("window_start", "courier_code", "warehouse_id").agg(F.count("*").alias("manifests"))
+def cells_written(spark: SparkSession, folder: str) -> DataFrame:
+    """The filled templates of all batches, one row per cell; serial numbers run per batch."""
+    return spark.read.schema(CELLS).parquet(f"{folder}/cells")
+
+
+def windows_written(spark: SparkSession, folder: str) -> DataFrame:
+    """Manifests per ten-minute window, courier and warehouse, from what the stream has taken so far."""
+    written = spark.read.schema(WINDOWS).parquet(f"{folder}/windows")
+    return written.groupBy("window_start", "courier_code", "warehouse").agg(F.countDistinct("manifest_id").alias("manifests"))

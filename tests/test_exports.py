@@ -15,6 +15,7 @@ from retrolane.plans.manifests import (
     courier_table,
     long_form,
     manifest_flags_after,
+    manifest_flags_raised,
     manifest_on_print,
 )
 from retrolane.sinks.files import run_folder, write_csv, write_version
@@ -135,8 +136,10 @@ def test_on_print_takes_flagged_recent_manifests_with_constants(make):
         ("No", "1"), ("Bar", ""), ("Odd", ""), ("Fix", "K"),
     ]
     assert len(cells) == 8
-    flags = {row["id"]: row["is_email_sent"] for row in dicts(manifest_flags_after(c, CLOCK))}
-    assert flags == {1: 0, 2: 0, 3: 1, 4: 0, 5: 0}
+    flags = {row["id"]: row["is_email_sent"] for row in dicts(manifest_flags_after(c, CLOCK, minutes=10))}
+    assert flags == {1: 0, 2: 0, 3: 1, 4: 1, 5: 1}
+    assert {row["id"]: row["is_email_sent"] for row in dicts(manifest_flags_after(c, CLOCK))} == {1: 0, 2: 0, 3: 0, 4: 1, 5: 1}
+    assert {row["id"]: row["is_email_sent"] for row in dicts(manifest_flags_raised(c))} == {n: 1 for n in range(1, 6)}
 
 
 def digest_tables():
@@ -214,3 +217,10 @@ def test_backfill_before_the_cut_off(make):
         crp_history=[moved | {"created": at("2014-09-30 23:59:59")}, moved | {"created": at("2014-10-01")}],
     )
     assert [row["rpr_date_time"] for row in dicts(rpr_backfill(c, at("2014-10-01")))] == [at("2014-09-30 23:59:59")]
+
+
+def test_a_mail_without_receiver_has_no_address(make):
+    tables = digest_tables()
+    tables["rtv_sheet_detail"] = [row | {"receiver_id": 77} for row in tables["rtv_sheet_detail"]]
+    rows = dicts(seller_digest(make(**tables), CLOCK))
+    assert rows and all(row["to_email"] is None for row in rows)

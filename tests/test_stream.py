@@ -1,60 +1,96 @@
 from datetime import timedelta
 
-from retrolane.streaming.on_print import counts_written, new_manifests, window_counts, write_stream
+import pytest
+
+from retrolane.session import shared_folder
+from retrolane.streaming.on_print import cells_written, run_stream, take_batch, windows_written
 from tests.conftest import at
 
-SCHEMA = "id BIGINT, created TIMESTAMP_NTZ, courier_code STRING, warehouse_id BIGINT"
+SCHEMA = "id BIGINT, created TIMESTAMP_NTZ, updated TIMESTAMP_NTZ, courier_code STRING, is_email_sent INT"
 START = at("2024-01-01 00:00")
+TEMPLATE = "<Columns><Column><Title>No</Title><Map>sno</Map></Column><Column><Title>Fix</Title><Map>x</Map><Value>K</Value></Column></Columns>"
+COURIERS = [
+    {"code": "c0", "enabled": 1, "soft_data_template": TEMPLATE},
+    {"code": "c1", "enabled": 1, "soft_data_template": TEMPLATE},
+    {"code": "c2", "enabled": 0, "soft_data_template": TEMPLATE},
+    {"code": "c3", "enabled": 1, "soft_data_template": ""},
+]
 
 
 def rows(first, last):
-    return [(n, START + timedelta(minutes=n), f"c{n % 2}", n % 3) for n in range(first, last)]
+    return [(n, START + timedelta(minutes=n), None, f"c{n % 4}", int(n % 5 > 0)) for n in range(first, last)]
 
 
-def feed(spark, folder, data):
-    spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+def wanted(data):
+    return [row for row in data if row[4] == 1 and row[3] in ("c0", "c1")]
 
 
 def expected(data):
     out = {}
-    for _, created, courier, warehouse in data:
+    for n, created, _, courier, _ in {row[0]: row for row in wanted(data)}.values():
         start = created - timedelta(minutes=created.minute % 10)
-        key = (str(start), courier, warehouse)
+        key = (str(start), courier, f"w{n % 3}")
         out[key] = out.get(key, 0) + 1
     return out
 
 
-def run(spark, folder, out, progress, plan):
-    source = spark.readStream.schema(SCHEMA).parquet(folder)
-    write_stream(plan(source), out, progress).awaitTermination()
+@pytest.fixture()
+def tables(make):
+    numbers = range(400)
+    return make(
+        couriers=COURIERS,
+        manifest_rtv_sheet_detail=[{"manifest_id": n, "rtv_sheet_id": n} for n in numbers],
+        rtv_sheet_detail=[{"id": n, "warehouse_id": n % 3} for n in numbers],
+        warehouse=[{"id": n, "name": f"w{n}"} for n in range(3)],
+    )
 
 
-def counted(df):
-    return {(str(r["window_start"]), r["courier_code"], r["warehouse_id"]): r["manifests"] for r in df.collect()}
+@pytest.fixture()
+def feed(spark, tables, tmp_path):
+    source, out, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
 
+    def run(data, option=100):
+        if data:
+            spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", option).parquet(source)
+        run_stream(tables, stream, out, progress).awaitTermination()
+        return out
 
-def test_each_manifest_is_taken_once(spark, tmp_path):
-    source, out, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
-    feed(spark, source, rows(0, 60))
-    run(spark, source, out, progress, new_manifests)
-    assert counted(counts_written(spark, out)) == expected(rows(0, 60))
-    # the last minutes again, plus new manifests: only the new ones are added
-    feed(spark, source, rows(55, 90))
-    run(spark, source, out, progress, new_manifests)
-    assert counted(counts_written(spark, out)) == expected(rows(0, 90))
+    return run
+
+
+def counted(df):
+    return {(str(r["window_start"]), r["courier_code"], r["warehouse"]): r["manifests"] for r in df.collect()}
+
+
+def test_each_manifest_is_taken_once_and_late_ones_are_not_lost(spark, feed):
+    out = feed(rows(200, 300))
+    assert counted(windows_written(spark, out)) == expected(rows(200, 300))
+    # hours older ones, some seen before, and repeated rows: all new ones are added
+    feed(rows(100, 150) + rows(190, 210) + rows(100, 110), option=1)
+    everything = rows(100, 150) + rows(190, 300)
+    assert counted(windows_written(spark, out)) == expected(everything)
+    cells = cells_written(spark, out)
+    assert cells.where("title = 'No'").count() == len(wanted(everything))
+    assert {r["value"] for r in cells.where("title = 'Fix'").collect()} == {"K"}
     # nothing new: nothing added
-    run(spark, source, out, progress, new_manifests)
-    assert counted(counts_written(spark, out)) == expected(rows(0, 90))
+    feed([])
+    assert counted(windows_written(spark, out)) == expected(everything)
 
 
-def test_closed_windows_are_counted(spark, tmp_path):
-    source, out, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
-    feed(spark, source, rows(0, 60))
-    run(spark, source, out, progress, window_counts)
-    feed(spark, source, rows(60, 120))
-    run(spark, source, out, progress, window_counts)
-    found = counted(spark.read.parquet(out))
-    everything = expected(rows(0, 120))
-    assert found and all(everything[key] == n for key, n in found.items())
-    # windows that ended more than the delay before the newest manifest are closed
-    assert {key for key in everything if key[0] < "2024-01-01 01:30"} <= set(found)
+def test_a_batch_that_runs_again_adds_nothing(spark, tables, tmp_path):
+    out = str(tmp_path / "out")
+    for number, part in [(0, rows(0, 20)), (1, rows(10, 30)), (1, rows(10, 30))]:
+        take_batch(tables, spark.createDataFrame(part, SCHEMA), number, out)
+    assert counted(windows_written(spark, out)) == expected(rows(0, 30))
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return {"spark.master": "yarn"}.get(name, default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
