@@ -5,7 +5,7 @@ prefix: the rarest n - ceil(s * n) + 1 of its n shingles in one global order, wh
 of similarity s share. Inside a tile two sets are compared if their sizes allow the similarity and
 their bitmaps do: bit b of a bitmap says whether an odd number of the shingles hash to b, so
 differing bits bound the symmetric difference from below and the overlap from above. Tiles carry 128
-bits; pairs that pass are held to bitmaps as wide as the sets are large. What still passes is decided by intersecting the exact sorted arrays.
+bits, large ones 512; pairs that pass are held to bitmaps as wide as the sets are large. What still passes is decided by intersecting the exact sorted arrays.
 
 Large tiles are compared in two rounds. The first pairs each set with the first and the next one
 of the tile by size. Its links give components; the second round deals the tile out by size band
@@ -28,10 +28,11 @@ from retrolane.llm.common import components, stage
 LOWER = bytes(byte + 32 if 65 <= byte <= 90 else byte for byte in range(256))
 MOST_WORDS = 500_000  # word hashes that a task remembers
 SMALL_TILE = 3  # tiles up to this size are compared whole at once
-HEAVY_SHARE = 250  # a shingle in one of so many documents of a batch may count as frequent
-MOST_HEAVY = 50_000  # frequent shingles told to every task; the others count as rare
+HEAVY_BATCH = 4096  # documents among which a shingle that occurs twice may count as frequent
+MOST_HEAVY = 400_000  # frequent shingles told to every task; the others count as rare
 MOST_TOLD = 4_000_000  # document ids told to every task; beyond that they are joined
 BLOCK = 1024
+MID_BITS = 512  # of the bitmaps in large tiles
 
 
 class Shingler:
@@ -75,9 +76,9 @@ def parity(shingles: np.ndarray) -> tuple[int, int]:
     return low, high
 
 
-def wide_parity(shingles: np.ndarray) -> bytes:
-    """A bitmap like parity's with at least as many bits as the set has elements, a power of two."""
-    width = max(128, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else 128
+def wide_parity(shingles: np.ndarray, width: int | None = None) -> bytes:
+    """A bitmap like parity's of the given width, else with as many bits as the set has elements, a power of two."""
+    width = width or (max(128, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else 128)
     bits = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (width - 1), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
@@ -106,10 +107,10 @@ def _heavy(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
-        for batch in _pieces(batches):
+        for batch in _pieces(batches, HEAVY_BATCH):
             sets = [shingler(text) for text in batch.column("text").to_pylist()]
             found, times = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0), np.zeros(0))
-            often = times >= max(3, len(sets) // HEAVY_SHARE)
+            often = times >= 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found[often].astype(np.uint64).view(np.int64)), pa.array(times[often].astype(np.int64))], ["shingle", "times"]
             )
@@ -130,7 +131,7 @@ def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
         shingler = Shingler(words)
         names, times = heavy.value
         for batch in _pieces(batches):
-            sizes, sets, bits, prefixes, wide = [], [], [], [], []
+            sizes, sets, bits, prefixes, wide, mid = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingler(text)
                 n = len(found)
@@ -139,6 +140,7 @@ def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 sets.append(np.frombuffer(digest, np.int64).tolist())
                 bits.append(parity(found))
                 wide.append(wide_parity(found))
+                mid.append(wide_parity(found, MID_BITS))
                 long = n - least_overlap(n, percent) + 1 if n else 0
                 if len(names) and n:
                     at = np.minimum(np.searchsorted(names, found), len(names) - 1)
@@ -154,11 +156,12 @@ def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     *(pa.array([b[i] for b in bits], pa.int64()) for i in (0, 1)),
                     pa.array(prefixes, pa.list_(pa.int64())),
                     pa.array(wide, pa.binary()),
+                    pa.array(mid, pa.binary()),
                 ],
-                ["doc_id", "n", "set_a", "set_b", "bits_a", "bits_b", "prefix", "wide"],
+                ["doc_id", "n", "set_a", "set_b", "bits_a", "bits_b", "prefix", "wide", "mid"],
             )
 
-    schema = "doc_id long, n long, set_a long, set_b long, bits_a long, bits_b long, prefix array<long>, wide binary"
+    schema = "doc_id long, n long, set_a long, set_b long, bits_a long, bits_b long, prefix array<long>, wide binary, mid binary"
     return docs.select("doc_id", "text").mapInArrow(rows, schema)
 
 
@@ -243,24 +246,24 @@ def _first_round(tiles: DataFrame, percent: int) -> DataFrame:
             good = _may_link(n[i], bits[i], n[j], bits[j], percent)
             pairs = _pairs_batch(doc[i[good]], doc[j[good]])
             none = pa.nulls(len(pairs), pa.int64())
-            yield pa.RecordBatch.from_arrays([*pairs.columns, none, none, none, none], names)
+            yield pa.RecordBatch.from_arrays([*pairs.columns, none, none], names)
             big = sizes[run] > SMALL_TILE
             none = pa.nulls(int(np.count_nonzero(big)), pa.int64())
-            kept = [pa.array(columns[name][big]) for name in ("doc_id", "key", "n", "bits_a", "bits_b")]
+            kept = [pa.array(columns[name][big]) for name in ("doc_id", "key", "n")]
             yield pa.RecordBatch.from_arrays([kept[0], none, *kept[1:]], names)
 
-    names = ["a", "b", "key", "n", "bits_a", "bits_b"]
-    return tiles.mapInArrow(rows, "a long, b long, key long, n long, bits_a long, bits_b long")
+    names = ["a", "b", "key", "n"]
+    return tiles.mapInArrow(rows, "a long, b long, key long, n long")
 
 
 def _second_round(tiles: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of large tiles between components, band by band; a visitor comes from the next band."""
-    cut = _Tiles(["key", "band", "guest", "doc_id", "n", "bits_a", "bits_b", "component"], 2)
+    cut = _Tiles(["key", "band", "guest", "doc_id", "n", "mid", "component"], 2)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns, cuts in cut(batches):
             n, doc, part, guest = columns["n"], columns["doc_id"], columns["component"], columns["guest"]
-            bits = np.stack([columns["bits_a"], columns["bits_b"]], axis=1)
+            bits = np.frombuffer(b"".join(columns["mid"]), np.int64).reshape(len(n), -1)
             for start, end in zip(cuts[:-1], cuts[1:], strict=True):
                 if part[start] == part[end - 1] and (part[start:end] == part[start]).all():
                     continue
@@ -352,7 +355,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     sets = sets.agg(F.min("doc_id").alias("first"))
     joined = marks.where("n > 0").join(sets, ["set_a", "set_b"])
     firsts = joined.where("doc_id = first").dropDuplicates(["set_a", "set_b"])
-    firsts = stage(firsts.select("doc_id", "n", "bits_a", "bits_b", "prefix", "wide"), "firsts")
+    firsts = stage(firsts.select("doc_id", "n", "bits_a", "bits_b", "prefix", "wide", "mid"), "firsts")
     tiles = firsts.select(F.explode("prefix").alias("key"), "n", "doc_id", "bits_a", "bits_b")
     tiles = tiles.repartition("key").sortWithinPartitions("key", "n", "doc_id")
     found = stage(_first_round(tiles, percent), "tiles")
@@ -360,14 +363,15 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     links = stage(_verified(stage(pairs, "pairs"), named, words, percent), "links")
     known = stage(components(links), "known")
 
-    large = found.where("b is null").select("key", F.col("a").alias("doc_id"), "n", "bits_a", "bits_b")
+    large = found.where("b is null").select("key", F.col("a").alias("doc_id"), "n")
     large = large.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     large = large.withColumn("component", F.coalesce("component", "doc_id"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent) * 1.0001))
     sides = F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))
     large = large.withColumn("band", band).withColumn("guest", F.explode(sides))
     large = large.withColumn("band", F.col("band") - F.col("guest"))
-    large = large.select("key", "band", "guest", "doc_id", "n", "bits_a", "bits_b", "component")
+    large = large.join(firsts.select("doc_id", "n", "mid"), ["doc_id", "n"])
+    large = large.select("key", "band", "guest", "doc_id", "n", "mid", "component")
     large = large.repartition("key", "band").sortWithinPartitions("key", "band", "guest", "n", "doc_id")
     more = stage(_close(_second_round(large, percent).distinct(), firsts, percent), "pairs")
     if not more.isEmpty():
