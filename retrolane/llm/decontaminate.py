@@ -14,7 +14,7 @@ such a run allows are embedded; no match is lost by that.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -122,6 +122,11 @@ class Items:
             for offset, code in enumerate(codes):
                 gate.setdefault(code, []).append((number, offset))
             by_length[n].append(number)
+        self.members = []
+        for _, ids in self.items:
+            own = np.zeros(len(self.vocabulary) + 2, dtype=np.int64)
+            own[ids] = 1
+            self.members.append(own)
         self.keys = {size: np.array(sorted(gate), np.int64) for size, gate in self.gates.items()}
         self.embedding = Embedding(max(by_length, default=1))
         self.tables = {}
@@ -157,8 +162,13 @@ class Items:
                 for number, offset in gate[code]:
                     n = len(self.items[number][1])
                     k = allowed(n, self.percent)
-                    first = place - offset
-                    out[n].update(range(max(0, first - k), min(len(ids) - 1, first + k) + 1))
+                    low, high = max(0, place - offset - k), min(len(ids) - 1, place - offset + k)
+                    # all but k words of the item stand in a window of n + k words, or it is too far
+                    own = self.members[number][ids[low : high + n + k]]
+                    sums = np.concatenate(([0], np.cumsum(own)))
+                    begins = np.arange(high - low + 1)
+                    counts = sums[np.minimum(begins + n + k, len(own))] - sums[begins]
+                    out[n].update((begins[counts >= n - k] + low).tolist())
         return out
 
     def matches(self, docs: list[np.ndarray]) -> list[dict[int, tuple[int, int, int]]]:
@@ -184,18 +194,38 @@ class Items:
         flat = hashes.ravel()
         low = np.searchsorted(keys, flat, side="left")
         counts = np.searchsorted(keys, flat, side="right") - low
-        hit = np.flatnonzero(counts)
-        pairs = set()
-        for i in hit.tolist():
-            window = i % len(places)
-            pairs.update((window, int(owner)) for owner in owners[low[i] : low[i] + counts[i]])
+        spots = np.repeat(np.arange(len(flat)), counts)
+        number = owners[np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(len(spots))]
+        pairs = np.unique(np.stack([number, spots % len(places)], axis=1), axis=0)
         k = allowed(n, self.percent)
-        for window, number in sorted(pairs):
-            d, start = places[window]
-            found = distance(self.items[number][1], docs[d][start : start + n + k].tolist(), k)
-            if found is not None:
-                now = (found[0], start, found[1])
+        longer = np.full((len(places), n + k), unknown, np.int64)
+        for i, (d, start) in enumerate(places):
+            part = docs[d][start : start + n + k]
+            longer[i, : len(part)] = np.where(part > 0, part, unknown)
+        cuts = np.flatnonzero(np.concatenate(([True], pairs[1:, 0] != pairs[:-1, 0], [True]))) if len(pairs) else [0]
+        for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+            item = self.items[int(pairs[first, 0])][1]
+            number = int(pairs[first, 0])
+            words_of = Counter(item)
+            found_at = pairs[first:last, 1]
+            found_at = found_at[self.members[number][longer[found_at]].sum(axis=1) >= n - k]
+            same = (windows[found_at] == np.array(item)).all(axis=1)
+            for window in found_at[same].tolist():
+                d, start = places[window]
+                now = (0, start, n)
                 out[d][number] = min(now, out[d].get(number, now))
+            for window in found_at[~same].tolist():
+                d, start = places[window]
+                best = out[d].get(number)
+                if best is not None and best[0] == 0:
+                    continue
+                text = docs[d][start : start + n + k].tolist()
+                if (Counter(text) & words_of).total() < n - k:
+                    continue
+                found = distance(item, text, k)
+                if found is not None:
+                    now = (found[0], start, found[1])
+                    out[d][number] = min(now, best) if best else now
 
 
 def _with_block(docs: DataFrame, rows: list[tuple[int, str]], percent: int) -> DataFrame:
@@ -205,8 +235,8 @@ def _with_block(docs: DataFrame, rows: list[tuple[int, str]], percent: int) -> D
         items = Items(shared.value, percent)
         known = items.vocabulary.get
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
                 docs = []
                 for text in batch.column("text").to_pylist():
                     tokens = words(text)
