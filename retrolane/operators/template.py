@@ -9,7 +9,7 @@ from retrolane.functions.text import line_breaks, recipients
 
 TEMPLATE_SCHEMA = "Column ARRAY<STRUCT<Title: STRING, Map: STRING, Value: STRING>>"
 
-# What a template's Map may name. Anything else yields NULL; text is never run as SQL.
+# What a template's Map may name. Anything else is an error; text is never run as SQL.
 EXPORT_FIELDS: dict[str, str] = {
     "rtvlNo": "concat('RTVL', sheet_id)",
     "inventory.barcode": "barcode",
@@ -52,9 +52,20 @@ def field_map(fields: dict[str, str] = EXPORT_FIELDS) -> Column:
     return F.create_map(*pairs)
 
 
+def unknown_fields(couriers: DataFrame) -> DataFrame:
+    """(courier_code, title, field) of template columns that name no known field, to be mended before an export."""
+    columns = courier_templates(couriers).select("courier_code", F.explode("columns").alias("column"))
+    known = F.col("column.Map").isin("sno", *EXPORT_FIELDS)
+    return columns.where(~F.coalesce(known, F.lit(False))).select(
+        "courier_code", F.col("column.Title").alias("title"), F.col("column.Map").alias("field")
+    )
+
+
 def mapped_value(column: Column) -> Column:
-    """Template value taken from the row's field."""
-    return F.try_element_at(F.col("fields"), column["Map"])
+    """Template value taken from the row's field. A name that is none of the fields stops the export."""
+    known = F.map_contains_key("fields", F.coalesce(column["Map"], F.lit("")))
+    error = F.raise_error(F.concat(F.lit("template names an unknown field: "), F.coalesce(column["Map"], F.lit("none"))))
+    return F.when(known, F.try_element_at(F.col("fields"), column["Map"])).otherwise(error)
 
 
 def constant_value(column: Column) -> Column:

@@ -30,17 +30,16 @@ def rpr_cohort_staging(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
 def _received_and_checked(c: Catalog, clock: Clock, days: int) -> DataFrame:
     """Received items with the number of quality checks found for each, and of those with a date."""
     arrivals = real_change(c.crp_history, "RPR").where(clock.closed_days("created", days))
-    passed = real_change(c.cri_history, "PDC").groupBy("cri_id").agg(
-        F.count("*").alias("checks"), F.count("status_date").alias("dated_checks")
+    cohort = arrivals.select("crp_id", F.to_date("created").alias("date")).join(
+        c.cri.select(F.col("id").alias("cri_id"), "crp_id"), "crp_id"
     )
-    return splittable_join(
-        arrivals.select("crp_id", F.to_date("created").alias("date")).join(
-            c.cri.select(F.col("id").alias("cri_id"), "crp_id"), "crp_id"
-        ),
-        passed,
-        "cri_id",
-        "left",
+    # only the cohort's part of the history is counted
+    history = real_change(c.cri_history, "PDC").select("cri_id", "status_date")
+    history = splittable_join(history, distinct_keys(cohort, "cri_id"), "cri_id", "left_semi")
+    passed = history.groupBy("cri_id").agg(
+        F.count("*").alias("checks"), F.count("status_date").alias("dated_checks")
     )
+    return splittable_join(cohort, passed, "cri_id", "left")
 
 
 def _qc_share(rows: DataFrame, *keys: str) -> DataFrame:

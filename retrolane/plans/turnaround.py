@@ -112,12 +112,15 @@ def rpr_to_qc_summary(c: Catalog, clock: Clock, sites: Sites, days: int = 7) ->
     passed = status_change(c.cri_history, "PDC").where(clock.closed_days("status_date", days))
     received = status_change(c.crp_history, "RPR").select("crp_id", F.col("created").alias("received_at"))
     site = F.coalesce(qc_site_label("updated_by", "returns_center_code", sites), F.col("updated_by"))
-    parcels = c.crp.select(F.col("id").alias("crp_id"), site.alias("qc_warehouse")).join(received, "crp_id")
     checked = (
         passed.select("cri_id", "status_date")
         .join(c.cri.select(F.col("id").alias("cri_id"), "crp_id", "cc_id"), "cri_id")
         .join(c.cc.select(F.col("id").alias("cc_id")), "cc_id", "left_semi")
     )
+    # packages and receipts are cut to those checked in the window before they meet
+    wanted = distinct_keys(checked, "crp_id")
+    parcels = c.crp.select(F.col("id").alias("crp_id"), site.alias("qc_warehouse")).join(wanted, "crp_id", "left_semi")
+    parcels = parcels.join(splittable_join(received, wanted, "crp_id", "left_semi"), "crp_id")
     rows = splittable_join(checked, parcels, "crp_id", "inner")
     rows = rows.withColumn("elapsed", F.datediff("status_date", "received_at"))
     names = bucket_names()

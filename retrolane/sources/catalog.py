@@ -6,10 +6,32 @@ from collections.abc import Callable, Mapping
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retrolane.sources.schemas import RETURNS_DB, TABLES, WAREHOUSE_DB
 
 
+# Names that the live databases use where the catalog's differ.
+SOURCE_TABLES = {
+    "cri": "customer_returned_item",
+    "crp": "customer_returned_package",
+    "cc": "customer_complaint",
+}
+SOURCE_COLUMNS = {
+    "inventory": {
+        "suborder_code": "suborderCode",
+        "issue_category": "issueCategory",
+        "forward_awb_number": "forwardAwbNumber",
+        "created_by_id": "createdBy_id",
+        "manifest_date": "manifestDate",
+    },
+    "rtv_sheet_detail": {"receiver_id": "receiverDetail_id", "updated_by_id": "updatedBy_id"},
+    "rtv_sheet_detail_inventory": {"product_details_id": "productDetails_id"},
+    "manifest_rtv_sheet_detail": {"rtv_sheet_id": "rtvSheet_id"},
+    "cc": {"ticket_code": "zendesk_ticket_code"},
+}
+
+
 class Catalog:
     """``catalog.inventory`` is the DataFrame the resolver gives for that name, resolved once."""
 
@@ -45,6 +67,20 @@ def from_parquet(spark: SparkSession, root: str) -> Catalog:
     return Catalog(spark, lambda name: spark.read.schema(TABLES[name]).parquet(f"{root}/{name}"))
 
 
+def source_query(name: str) -> str:
+    """The projection that gives a live table the catalog's column names, as a derived table."""
+    own = SOURCE_COLUMNS.get(name, {})
+    columns = [field.split()[0] for field in TABLES[name].split(", ")]
+    chosen = ", ".join(f"{own[column]} AS {column}" if column in own else column for column in columns)
+    return f"(SELECT {chosen} FROM {SOURCE_TABLES.get(name, name)}) AS {name}_rows"
+
+
+def typed(df: DataFrame, name: str) -> DataFrame:
+    """A live table with the declared types."""
+    fields = [field.split() for field in TABLES[name].split(", ")]
+    return df.select(*[F.col(column).cast(kind).alias(column) for column, kind in fields])
+
+
 def jdbc_options(
     url: str, table: str, key: str | None = None, bounds: tuple[int, int] | None = None, slices: int = 1
 ) -> dict[str, str]:
@@ -77,8 +113,7 @@ def from_jdbc(
     def resolve(name: str) -> DataFrame:
         url = warehouse_url if name in WAREHOUSE_DB else returns_url
         key, bounds = keys.get(name, (None, None))
-        reader = spark.read.format("jdbc").options(**jdbc_options(url, name, key, bounds, slices))
-        return reader.options(**properties).load()
+        reader = spark.read.format("jdbc").options(**jdbc_options(url, source_query(name), key, bounds, slices))
+        return typed(reader.options(**properties).load(), name)
 
-    assert not set(WAREHOUSE_DB) & set(RETURNS_DB)
     return Catalog(spark, resolve)

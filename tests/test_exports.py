@@ -2,12 +2,13 @@ import csv
 import glob
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from retrolane.clock import Clock
 from retrolane.operators.digest import ESCAPED, PAGE, PLAIN, html_parts
 from retrolane.operators.serial import numbered
-from retrolane.operators.template import courier_templates
+from retrolane.operators.template import courier_templates, unknown_fields
 from retrolane.plans.backfill import customer_name_fill, rpr_backfill
 from retrolane.plans.digests import center_digest, center_items, seller_digest, seller_items
 from retrolane.plans.manifests import (
@@ -73,7 +74,7 @@ def test_html_styles_treat_quotes_differently(spark):
 
 TEMPLATE = (
     "<T><Column><Title>No</Title><Map>sno</Map></Column><Column><Title>Bar</Title><Map>inventory.barcode</Map>"
-    "</Column><Column><Title>Odd</Title><Map>drop table x</Map></Column>"
+    "</Column><Column><Title>Odd</Title><Map>inventory.order_code</Map></Column>"
     "<Column><Title>Fix</Title><Map>warehouse.name</Map><Value>K</Value></Column></T>"
 )
 
@@ -113,7 +114,18 @@ def test_templates_of_enabled_couriers(make):
     assert [column["Value"] for column in rows["c1"]["columns"]] == [None, None, None, "K"]
 
 
-def test_export_maps_fields_and_never_runs_template_text(make):
+def test_unknown_template_fields_are_reported_and_stop_the_export(make):
+    tables = manifests()
+    for row in tables["couriers"]:
+        row["soft_data_template"] = row["soft_data_template"].replace("inventory.order_code", "drop table x")
+    c = make(**tables)
+    assert sorted(map(tuple, unknown_fields(c.couriers).collect())) == [("c1", "Odd", "drop table x"), ("c4", "Odd", "drop table x")]
+    with pytest.raises(Exception, match="unknown field: drop table x"):
+        long_form(courier_manifest_export(c, CLOCK)).collect()
+    assert long_form(manifest_on_print(c, CLOCK)).count() == 8
+
+
+def test_export_maps_fields(make):
     export = courier_manifest_export(make(**manifests()), CLOCK)
     table = courier_table(export, "c1", ["No", "Bar", "Odd", "Fix"]).orderBy("sno")
     assert [tuple(row) for row in table.collect()] == [

@@ -1,7 +1,7 @@
 import pytest
 
 from __spark_entry__ import PLANS
-from retrolane.sources.catalog import from_parquet, jdbc_options
+from retrolane.sources.catalog import from_parquet, jdbc_options, source_query, typed
 from retrolane.sources.schemas import RETURNS_DB, TABLES, WAREHOUSE_DB, exportable_columns
 from retrolane.sources.star import from_star
 
@@ -52,3 +52,15 @@ def test_date_filter_and_column_pruning_reach_the_scan(spark):
     plan = PLANS["rms_daily_funnel_7d"](from_star(spark, FOLDER))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate,1998-08-25T00:00)" in plan
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in plan
+
+
+def test_live_tables_are_read_under_the_catalogs_names(spark):
+    query = source_query("inventory")
+    assert query.startswith("(SELECT id, barcode, suborderCode AS suborder_code, order_code, ticket_id, issueCategory AS")
+    assert query.endswith("manifestDate AS manifest_date, created FROM inventory) AS inventory_rows")
+    assert source_query("cc") == "(SELECT id, zendesk_ticket_code AS ticket_code FROM customer_complaint) AS cc_rows"
+    assert not set(WAREHOUSE_DB) & set(RETURNS_DB)
+    for name in TABLES:
+        assert source_query(name).count("SELECT") == 1
+    live = spark.createDataFrame([("7", "t", 1)], "id STRING, ticket_code STRING, extra INT")
+    assert typed(live, "cc").schema.simpleString() == "struct<id:bigint,ticket_code:string>"
