@@ -69,10 +69,10 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
         F.slice(F.split(b, ""), 1, F.length(b)).alias("c"), F.sequence(F.lit(1), F.length(b)).alias("j")
     )
 
-    def equal(x: Column) -> Column:
+    def equal(known: Column, x: Column) -> Column:
         bits = F.lit(0)
         for k in range(width):
-            bits = bits + F.when(F.get(rows, x["j"] - 1 + k) == x["c"], 1 << k).otherwise(0)
+            bits = bits + F.when(F.get(known, x["j"] - 1 + k) == x["c"], 1 << k).otherwise(0)
         return bits
 
     def step(state: Column, match: Column) -> Column:
@@ -93,7 +93,9 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
     start = F.struct(
         F.lit(mask & ~((1 << edits) - 1)).alias("up"), F.lit(0).alias("down"), F.lit(edits).alias("low")
     )
-    end = F.aggregate(F.transform(columns, equal), start, step)
+    # the array of rows is bound once, else it would be made anew for every column
+    matches = F.transform(F.array(rows), lambda known: F.transform(columns, lambda x: equal(known, x)))[0]
+    end = F.aggregate(matches, start, step)
     # after a step bit 0 stands for the highest row of the next column's band; the wanted value lies
     # above the lowest row of this one, with the rises and falls from this bit on in between
     at = F.length(a) - F.length(b) + edits
@@ -109,6 +111,24 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when(near, value).otherwise(edits + 1)
 
 
+# Letters whose counts are compared before two lines are.
+COUNTED = "etanoirsuhdlcm"
+
+
+def histogram(line: Column) -> Column:
+    """How often a line holds each counted letter, and its length."""
+    length = F.length(line)
+    return F.array(length, *(length - F.length(F.replace(line, F.lit(letter))) for letter in COUNTED))
+
+
+def may_be_near(one: Column, two: Column, edits: int) -> Column:
+    """Whether histograms leave room for the edits: each changes the counts of two letters by one at most."""
+    apart = F.lit(0)
+    for i in range(1, len(COUNTED) + 1):
+        apart = apart + F.abs(one[i] - two[i])
+    return (F.abs(one[0] - two[0]) <= edits) & (apart <= 2 * edits)
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """Lines of at least min_chars characters with their place and two hashes."""
     lines = docs.select("doc_id", "tag", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
@@ -140,9 +160,17 @@ def near_pairs(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     texts = _lines(docs.join(_told(holders), "doc_id", "left_semi"), min_chars)
     places = wanted.select("doc_id", "tag", "pos", "h1", "h2")
     texts = stage(texts.join(_told(places), ["doc_id", "tag", "pos", "h1", "h2"]).dropDuplicates(["h1", "h2"]), "wanted")
+    # first the pairs that the letters leave room for, then the edit distance of these
+    counts = texts.select("h1", "h2", histogram(F.col("line")).alias("letters"))
+    left = counts.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("letters").alias("one"))
+    right = counts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("letters").alias("two"))
+    pairs = pairs.join(left, "a").join(right, "b").where(may_be_near(F.col("one"), F.col("two"), edits))
+    pairs = stage(pairs.select("a", "a2", "b", "b2"), "pairs")
     left = texts.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("line").alias("one"), F.struct("doc_id", "pos").alias("x"))
     right = texts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("line").alias("two"), F.struct("doc_id", "pos").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(left, ["a", "a2"]).join(right, ["b", "b2"])
+    # the distance costs more than its input is long: spread it over all tasks
+    both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     near = both.where(edit_distance(F.col("one"), F.col("two"), edits) <= edits)
     later = F.when(F.col("x") < F.col("y"), F.struct(F.col("b").alias("h1"), F.col("b2").alias("h2")))
     later = later.otherwise(F.struct(F.col("a").alias("h1"), F.col("a2").alias("h2")))
