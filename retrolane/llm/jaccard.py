@@ -366,11 +366,14 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     large = found.where("b is null").select("key", F.col("a").alias("doc_id"), "n")
     large = large.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     large = large.withColumn("component", F.coalesce("component", "doc_id"))
+    # tiles of one component have nothing to compare
+    open_ = large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    large = large.join(open_.where("low < high").select("key"), "key", "left_semi")
+    large = large.join(firsts.select("doc_id", "n", "mid"), ["doc_id", "n"])
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent) * 1.0001))
     sides = F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))
     large = large.withColumn("band", band).withColumn("guest", F.explode(sides))
     large = large.withColumn("band", F.col("band") - F.col("guest"))
-    large = large.join(firsts.select("doc_id", "n", "mid"), ["doc_id", "n"])
     large = large.select("key", "band", "guest", "doc_id", "n", "mid", "component")
     large = large.repartition("key", "band").sortWithinPartitions("key", "band", "guest", "n", "doc_id")
     more = stage(_close(_second_round(large, percent).distinct(), firsts, percent), "pairs")
