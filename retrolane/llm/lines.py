@@ -20,24 +20,28 @@ MIN_CHARS = 20
 MOST_TOLD = 1_000_000  # ids that may be broadcast, after counting them
 
 
-def _segment(length: Column, edits: int, i: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment i (from 0) of a line; the later segments take the rest."""
+def _keys(line: Column, length: Column, edits: int, places: list[tuple[int, int, int]]) -> Column:
+    """Hashes of the pieces that stand at segment i, moved by shift, of lines shorter by gap, for (i, gap, shift).
+
+    Segments are of about equal length; the later ones take the rest. The places are data, not code: one
+    small expression over them compiles, a dozen written out would not.
+    """
     parts = edits + 1
-    base = F.floor(length / parts).cast("int")
-    longer = length - base * parts
-    first_long = parts - longer
-    start = base * i + F.greatest(F.lit(0), F.lit(i) - first_long) + 1
-    return start.cast("int"), (base + F.when(F.lit(i) >= first_long, 1).otherwise(0)).cast("int")
 
+    def key(p: Column) -> Column:
+        whole = length - p["gap"]
+        base = F.call_function("div", whole, F.lit(parts)).cast("int")
+        extra = F.greatest(F.lit(0), p["i"] - (parts - whole % parts))
+        more = F.when(p["i"] >= parts - whole % parts, 1).otherwise(0)
+        return F.xxhash64(p["i"], whole, line.substr(base * p["i"] + extra + 1 + p["shift"], base + more))
 
-def _key(line: Column, length: Column, edits: int, i: int, gap: int, shift: int) -> Column:
-    """Hash of the piece that stands at segment i, moved by shift, of lines shorter by gap."""
-    start, long = _segment(length - gap, edits, i)
-    return F.xxhash64(F.lit(i), length - gap, line.substr(start + shift, long))
+    names = ("i", "gap", "shift")
+    rows = [F.struct(*(F.lit(value).alias(name) for name, value in zip(names, place, strict=True))) for place in places]
+    return F.transform(F.array(*rows), key)
 
 
 def _indexed(line: Column, length: Column, edits: int) -> Column:
-    return F.array(*(_key(line, length, edits, i, 0, 0) for i in range(edits + 1)))
+    return _keys(line, length, edits, [(i, 0, 0) for i in range(edits + 1)])
 
 
 def _probed(line: Column, length: Column, edits: int) -> Column:
@@ -45,12 +49,34 @@ def _probed(line: Column, length: Column, edits: int) -> Column:
 
     With i segments before, the shift is at most i; with edits - i behind, it is as close to the gap.
     """
-    keys = []
+    places = []
     for gap in range(edits + 1):
         for i in range(edits + 1):
             for shift in range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1):
-                keys.append(_key(line, length, edits, i, gap, shift))
-    return F.array(*keys)
+                places.append((i, gap, shift))
+    return _keys(line, length, edits, places)
+
+
+# Letters whose counts, one byte each, travel with the keys.
+PACKED = "etanis"
+
+
+def packed_counts(line: Column, length: Column) -> Column:
+    """Counts of the packed letters modulo 256, as the bytes of a long."""
+    out = F.lit(0).cast("long")
+    for i, letter in enumerate(PACKED):
+        count = (length - F.length(F.replace(line, F.lit(letter)))) % 256
+        out = out + F.shiftleft(count.cast("long"), 8 * i)
+    return out
+
+
+def packed_near(one: Column, two: Column, edits: int) -> Column:
+    """Whether packed counts leave room for the edits: each moves two of them by one at most."""
+    apart = F.lit(0)
+    for i in range(len(PACKED)):
+        gap = F.pmod(F.shiftright(one, 8 * i).bitwiseAND(F.lit(255)) - F.shiftright(two, 8 * i).bitwiseAND(F.lit(255)), F.lit(256))
+        apart = apart + F.least(gap, F.lit(256) - gap)
+    return apart <= 2 * edits
 
 
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
@@ -146,12 +172,16 @@ def near_pairs(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     first = F.min(F.struct("doc_id", "pos", "tag")).alias("first")
     classes = stage(lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), first).select("h1", "h2", "n", "first.*"), "lines")
     length = F.length("line")
-    index = lines.select("h1", F.explode(_indexed(F.col("line"), length, edits)).alias("key"))
-    probe = lines.select(F.col("h1").alias("g1"), F.explode(_probed(F.col("line"), length, edits)).alias("key"))
+    sized = lines.select("h1", "line", length.alias("length")).withColumn("letters", packed_counts(F.col("line"), F.col("length")))
+    index = sized.select("h1", "letters", F.explode(_indexed(F.col("line"), F.col("length"), edits)).alias("key"))
+    probe = sized.select(
+        F.col("h1").alias("g1"), F.col("letters").alias("others"), F.explode(_probed(F.col("line"), F.col("length"), edits)).alias("key")
+    )
     # equal lines give equal keys: one of each goes on where they arrive
     index = index.repartition("key").distinct()
     probe = probe.repartition("key").distinct()
-    met = index.join(probe, "key").where("h1 <> g1")
+    met = index.join(probe, "key").where(F.col("h1") != F.col("g1"))
+    met = met.where(packed_near(F.col("letters"), F.col("others"), edits))
     pairs = stage(met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b")).distinct(), "met")
 
     named = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
