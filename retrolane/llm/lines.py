@@ -58,7 +58,7 @@ def _probed(line: Column, length: Column, edits: int) -> Column:
 
 
 # Letters whose counts, one byte each, travel with the keys.
-PACKED = "etanis"
+PACKED = "etanisro"
 
 
 def packed_counts(line: Column, length: Column) -> Column:
