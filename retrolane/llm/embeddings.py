@@ -32,6 +32,7 @@ ENTRIES = 12
 STEP = 4  # nodes of the beam whose neighbours are visited at once
 SHRINK = 16
 WHOLE = 512  # a layer of at most so many nodes is compared whole
+WIDEST = 16  # a beam of more than this part of a layer costs more than comparing the layer whole
 AUDIT = 96  # audited queries of a group
 RECALL = 0.995  # share of the audited links that must be found
 
@@ -118,15 +119,24 @@ class Layer:
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Similarities and numbers of the beam most similar nodes found, for each query; blanks are -2 and n."""
-        if self.upper is None or beam >= self.n:
-            many = min(beam, self.n)
-            sims = queries @ self.vectors[: self.n].T
-            ids = np.argpartition(-sims, many - 1, axis=1)[:, :many]
-            return np.take_along_axis(sims, ids, 1), ids
+        if self.upper is None or self.whole(beam):
+            return self._compare(queries, min(beam, self.n))
         width = max(16, min(1024, (1 << 24) // self.n))
         parts = [self._walk(queries[at : at + width], beam) for at in range(0, len(queries), width)]
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
+    def whole(self, beam: int) -> bool:
+        """Whether a beam is so wide that the whole layer is compared instead."""
+        return beam * WIDEST >= self.n
+
+    def _compare(self, queries: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        for at in range(0, max(1, len(queries)), 512):
+            sims = queries[at : at + 512] @ self.vectors[: self.n].T
+            ids = np.argpartition(-sims, many - 1, axis=1)[:, :many]
+            out.append((np.take_along_axis(sims, ids, 1), ids))
+        return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
+
     def _walk(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         many = len(queries)
         entry_sims, entries = self.upper.search(queries, min(beam, ENTRIES))
@@ -213,7 +223,7 @@ def links_within(layer: Layer, exact: np.ndarray, queries: np.ndarray, least: fl
         spot[audited] = np.arange(len(audited))
         mine = spot[q] >= 0
         found[spot[q[mine]], node[mine]] = True
-        if (truth & found).sum() >= RECALL * truth.sum() or beam >= layer.n:
+        if (truth & found).sum() >= RECALL * truth.sum() or layer.whole(beam):
             return q, node
         beam *= 4
 
