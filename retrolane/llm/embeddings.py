@@ -4,9 +4,10 @@ Equal vectors become one class. Classes are dealt into shards by a hash; each sh
 hierarchy of graphs: every layer holds a sixteenth of the nodes of the layer below, the top one is
 small enough to compare whole, and the nodes found in a layer are where the search of the next one
 starts. Every vector then queries every shard. A query whose beam is still full of links when it
-ends is repeated with a wider one, and a group of queries is repeated with wider beams until the
-links of a sample of it, found by comparing with all nodes, are nearly all there. Links are decided
-by the cosine in double precision, and joined to components.
+ends is repeated with a wider one, and a group of queries starts with the narrowest beam that finds nearly
+all links of a sample of it, known by comparing with all nodes. Links are decided by the cosine in
+double precision; blocks of them are folded into counts and components, so that no task holds the
+links of a dense group.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ STEP = 4  # nodes of the beam whose neighbours are visited at once
 SHRINK = 16
 WHOLE = 512  # a layer of at most so many nodes is compared whole
 WIDEST = 16  # a beam of more than this part of a layer costs more than comparing the layer whole
+CELLS = 1 << 20  # similarities or pairs that are held at once
 AUDIT = 96  # audited queries of a group
 RECALL = 0.995  # share of the audited links that must be found
 
@@ -171,16 +173,31 @@ class Layer:
             active = active[open_[active].any(axis=1)]
         return sims, ids
 
-    def within(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, node) of at least this similarity; full beams are widened until they end below it."""
-        out: list[tuple[np.ndarray, np.ndarray]] = []
+    def pieces(self, queries: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (query, node) of at least this similarity, at most CELLS at once; full beams are widened until they end below it."""
         rows = np.arange(len(queries))
         while len(rows):
-            sims, ids = self.search(queries[rows], beam)
-            full = (sims.min(axis=1) >= least) if beam < self.n else np.zeros(len(rows), dtype=bool)
-            q, place = np.nonzero((sims >= least) & ~full[:, None])
-            out.append((rows[q], ids[q, place]))
-            rows, beam = rows[full], beam * 4
+            if self.upper is None or self.whole(beam):
+                many = max(1, CELLS // self.n)
+                for at in range(0, len(rows), many):
+                    part = rows[at : at + many]
+                    q, node = np.nonzero(queries[part] @ self.vectors[: self.n].T >= least)
+                    yield part[q], node
+                return
+            many = max(1, CELLS // beam)
+            full = []
+            for at in range(0, len(rows), many):
+                part = rows[at : at + many]
+                sims, ids = self.search(queries[part], beam)
+                wide = sims.min(axis=1) >= least
+                q, place = np.nonzero((sims >= least) & ~wide[:, None])
+                yield part[q], ids[q, place]
+                full.append(part[wide])
+            rows, beam = np.concatenate(full), beam * 4
+
+    def within(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs (query, node) of at least this similarity."""
+        out = list(self.pieces(queries, least, beam))
         return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
 
     def saved(self) -> tuple[list[int], list[bytes]]:
@@ -203,29 +220,33 @@ def _unit(values: np.ndarray) -> np.ndarray:
     return values / np.sqrt((values * values).sum(axis=1, keepdims=True))
 
 
-def links_within(layer: Layer, exact: np.ndarray, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, node) with a cosine of at least `least`, with beams as wide as the audit asks for."""
-    narrow = queries.astype(np.float32)
-    margin = least - 1e-5
-    rng = np.random.default_rng(len(queries))
-    audited = rng.choice(len(queries), min(AUDIT, len(queries)), replace=False)
-    truth = queries[audited] @ exact.T >= least
-    beam = BEAM
-    while True:
-        q, node = layer.within(narrow, margin, beam)
+def _sure(
+    layer: Layer, exact: np.ndarray, queries: np.ndarray, least: float, beam: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, node) with a cosine of at least `least` that beams from this width on find, in pieces."""
+    for q, node in layer.pieces(queries.astype(np.float32), least - 1e-5, beam):
         sure = np.zeros(len(q), dtype=bool)
         for at in range(0, len(q), 1 << 16):
             part = slice(at, at + (1 << 16))
             sure[part] = np.einsum("ij,ij->i", queries[q[part]], exact[node[part]]) >= least
-        q, node = q[sure], node[sure]
-        found = np.zeros(truth.shape, dtype=bool)
-        spot = np.full(len(queries), -1)
-        spot[audited] = np.arange(len(audited))
-        mine = spot[q] >= 0
-        found[spot[q[mine]], node[mine]] = True
-        if (truth & found).sum() >= RECALL * truth.sum() or layer.whole(beam):
-            return q, node
+        yield q[sure], node[sure]
+
+
+def links_within(layer: Layer, exact: np.ndarray, queries: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, node) with a cosine of at least `least`, in pieces, with beams as wide as the audit asks for.
+
+    Queries don't depend on each other, so the audited ones alone settle the beam before the others are asked.
+    """
+    rng = np.random.default_rng(len(queries))
+    audited = rng.choice(len(queries), min(AUDIT, len(queries)), replace=False)
+    truth = queries[audited] @ exact.T >= least
+    beam = BEAM
+    while not layer.whole(beam):
+        found = sum(int(truth[q, node].sum()) for q, node in _sure(layer, exact, queries[audited], least, beam))
+        if found >= RECALL * truth.sum():
+            break
         beam *= 4
+    yield from _sure(layer, exact, queries, least, beam)
 
 
 def _prepared(vectors: DataFrame) -> DataFrame:
@@ -264,20 +285,22 @@ def _built(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(row)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges between longs as (node, smallest node of its component)."""
-    names, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
-    a, b = flat[: len(a)], flat[len(a) :]
-    low = np.arange(len(names))
-    while True:
-        new = low.copy()
-        least = np.minimum(low[a], low[b])
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        new = new[new]
-        if (new == low).all():
-            return names, names[low]
-        low = new
+class Forest:
+    """Components of nodes 0 to size - 1 under the edges added so far; edges aren't kept."""
+
+    def __init__(self, size: int):
+        self.root = np.arange(size)  # the smallest node of each one's component
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            x, y = self.root[a], self.root[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            np.minimum.at(self.root, np.maximum(x, y), np.minimum(x, y))
+            while ((up := self.root[self.root]) != self.root).any():
+                self.root = up
 
 
 def _queried(least: float):
@@ -291,17 +314,19 @@ def _queried(least: float):
         layer = Layer.loaded(exact.astype(np.float32), [int(x) for x in row["layers"]], list(row["tables"]))
         mine = queries["vec_id"].to_numpy()
         asked = _unit(np.frombuffer(b"".join(queries["data"]), np.float64).reshape(len(queries), -1))
-        q, node = links_within(layer, exact, asked, least)
-        other = mine[q] != ids[node]
-        q, node = q[other], node[other]
-        counts = np.bincount(q, weights=weights[node], minlength=len(mine)).astype(np.int64)
-        some = counts > 0
-        member, low = _forest(mine[q], ids[node])
+        vertices, flat = np.unique(np.concatenate([mine, ids]), return_inverse=True)
+        counts, forest = np.zeros(len(mine)), Forest(len(vertices))
+        for q, node in links_within(layer, exact, asked, least):
+            other = mine[q] != ids[node]
+            q, node = q[other], node[other]
+            counts += np.bincount(q, weights=weights[node], minlength=len(mine))
+            forest.add(flat[: len(mine)][q], flat[len(mine) :][node])
+        some, joined = counts > 0, forest.root != np.arange(len(vertices))
         return pd.DataFrame(
             {
-                "vec_id": np.concatenate([mine[some], member]),
-                "links": np.concatenate([counts[some], np.zeros(len(member), np.int64)]),
-                "other": np.concatenate([mine[some], low]),
+                "vec_id": np.concatenate([mine[some], vertices[joined]]),
+                "links": np.concatenate([counts[some].astype(np.int64), np.zeros(joined.sum(), np.int64)]),
+                "other": np.concatenate([mine[some], vertices[forest.root[joined]]]),
             }
         )
 

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from retrolane.llm import embeddings
@@ -56,3 +59,34 @@ def test_a_saved_hierarchy_answers_as_before(monkeypatch):
     pairs = set(zip(*map(list, layer.within(vectors, 0.9, 16))))
     truth = set(zip(*map(list, np.nonzero(vectors @ vectors.T >= 0.9))))
     assert len(pairs & truth) >= 0.99 * len(truth)
+
+
+def test_a_dense_group_is_folded_in_blocks():
+    rng = np.random.default_rng(6)
+    size = 4000
+    points = embeddings._unit(rng.normal(size=8) + 0.02 * rng.normal(size=(size, 8)))
+    points[-2:] = embeddings._unit(rng.normal(size=(2, 8)))
+    ids = rng.permutation(size).astype(np.int64)
+    row = {"ids": ids.tobytes(), "weights": np.ones(size, np.int64).tobytes(), "vectors": points.tobytes(), "layers": [[size]], "tables": [[b""]]}
+    queries = pd.DataFrame({"vec_id": ids, "data": [p.tobytes() for p in points]})
+    tracemalloc.start()
+    out = embeddings._queried(0.95)(pd.DataFrame(row), queries)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    near = points @ points.T >= 0.95
+    counts = dict(zip(ids.tolist(), (near.sum(axis=1) - 1).tolist()))
+    assert out[out.links > 0].set_index("vec_id").links.to_dict() == {i: n for i, n in counts.items() if n}
+    stars = out[out.vec_id != out.other]
+    assert set(stars.vec_id) == set(ids[:-2].tolist()) - {min(ids[:-2])} and set(stars.other) == {min(ids[:-2])}
+    assert peak < 150e6
+
+
+def test_a_forest_equals_the_components_of_its_edges():
+    rng = np.random.default_rng(8)
+    forest, low = embeddings.Forest(300), np.arange(300)
+    for _ in range(12):
+        a, b = rng.integers(0, 300, (2, 20))
+        forest.add(a, b)
+        for x, y in zip(a, b):
+            low[(low == low[x]) | (low == low[y])] = min(low[x], low[y])
+        assert (forest.root == low).all()
