@@ -17,6 +17,7 @@ from retrolane.llm.common import stage
 
 EDITS = 2
 MIN_CHARS = 20
+EQUAL_CHARS = 1  # the registered query's bound for equal lines
 MOST_TOLD = 1_000_000  # ids that may be broadcast, after counting them
 
 
@@ -166,13 +167,15 @@ def _told(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MOST_TOLD else ids
 
 
-def near_pairs(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
+def near_pairs(
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, equal_chars: int = MIN_CHARS
+) -> tuple[DataFrame, DataFrame]:
     """Classes of equal lines (h1, h2, n, doc_id, tag, pos of the first one) and the linked ones (first place of both)."""
-    lines = _lines(docs, min_chars)
+    lines = _lines(docs, min(min_chars, equal_chars))
     first = F.min(F.struct("doc_id", "pos", "tag")).alias("first")
     classes = stage(lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), first).select("h1", "h2", "n", "first.*"), "lines")
     length = F.length("line")
-    sized = lines.select("h1", "line", length.alias("length")).withColumn("letters", packed_counts(F.col("line"), F.col("length")))
+    sized = lines.where(length >= min_chars).select("h1", "line", length.alias("length")).withColumn("letters", packed_counts(F.col("line"), F.col("length")))
     index = sized.select("h1", "letters", F.explode(_indexed(F.col("line"), F.col("length"), edits)).alias("key"))
     probe = sized.select(
         F.col("h1").alias("g1"), F.col("letters").alias("others"), F.explode(_probed(F.col("line"), F.col("length"), edits)).alias("key")
@@ -207,30 +210,31 @@ def near_pairs(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     return classes, stage(near.select(later.alias("later")).select("later.*").distinct(), "later")
 
 
-def removals(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def removals(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, equal_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, tag, gone): positions of the lines to remove, for documents (doc_id, tag, text) that lose some."""
-    classes, later = near_pairs(docs, edits, min_chars)
+    classes, later = near_pairs(docs, edits, min_chars, equal_chars)
     marked = classes.join(later.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     marked = marked.where("near or n > 1").select("h1", "h2", "near", F.struct("doc_id", "pos").alias("first"))
-    lines = _lines(docs, min_chars).select("doc_id", "tag", "pos", "h1", "h2")
+    lines = _lines(docs, min(min_chars, equal_chars)).select("doc_id", "tag", "pos", "h1", "h2")
     gone = lines.join(marked, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "pos") != F.col("first")))
     gone = gone.groupBy("doc_id", "tag").agg(F.collect_set("pos").alias("gone"))
     return stage(gone, "gone")
 
 
-def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, equal_chars: int | None = None) -> DataFrame:
     """The rows of docs without repeated and near-repeated lines; adds n_lines and n_removed.
 
     Lines are what newlines separate. Order is by doc_id, then by place. Of equal lines the first stays;
     a line within `edits` edits of a line whose first place is earlier goes wherever it stands. Lines of
-    fewer than min_chars characters always stay. All columns are kept (one named like an added column is
+    fewer than min_chars characters are near none; they go only as repeats, if they have equal_chars
+    characters (min_chars if not given). All columns are kept (one named like an added column is
     replaced); a null text stays null and has no lines, an empty text has one. Rows without doc_id stay
     as they are and remove nothing. Rows that repeat doc_id and text count as one document and get the
     same result; other rows of that doc_id are judged by their own text.
     """
     columns = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
     named = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text").where("doc_id is not null and length(text) > 0")
-    gone = removals(named, edits, min_chars)
+    gone = removals(named, edits, min_chars, min_chars if equal_chars is None else equal_chars)
     ids = gone.select("doc_id").distinct()
     ids = _told(ids)
     mine = docs.select(*[f"`{name}`" for name in columns])

@@ -52,7 +52,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_lines(spark: SparkSession, folder: str) -> DataFrame:
-    out = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    out = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"), equal_chars=lines.EQUAL_CHARS)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

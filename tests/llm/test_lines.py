@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from retrolane.llm import lines
+from retrolane.llm import lines, queries
 
 
 def edits(a, b):
@@ -84,3 +84,12 @@ def test_extra_columns_and_empty_tables(spark):
     out = sorted(map(tuple, lines.dedup(docs).collect()))
     assert out == [(1, "x" * 30, "t", 1, 0), (2, "", None, 1, 1)]
     assert lines.dedup(docs.limit(0)).count() == 0
+
+
+def test_the_query_removes_short_repeats_too(spark, tmp_path):
+    rows = [(1, "Read more\n\n}\nabc"), (2, "Read more\nRead mode\n\n}\nabd"), (3, "}\n}\n" + "x" * 30), (4, "x" * 31)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op8_lines(spark, str(tmp_path)).select("doc_id", "n_lines", "n_removed").collect()
+    assert sorted(map(tuple, out)) == [(1, 4, 0), (2, 5, 2), (3, 3, 2), (4, 1, 1)]
+    kept = {r["doc_id"]: r["text"] for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), equal_chars=1).collect()}
+    assert kept == {1: rows[0][1], 2: "Read mode\n\nabd", 3: "x" * 30, 4: ""}
