@@ -8,9 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retrolane.llm import bpe, decontaminate, embeddings, html, jaccard, lines, repeats, toolcalls, toxicity, urls
+from retrolane.llm import (
+    bpe,
+    decontaminate,
+    embeddings,
+    html,
+    jaccard,
+    lexical,
+    lines,
+    repeats,
+    spelling,
+    toolcalls,
+    toxicity,
+    urls,
+    word_bpe,
+)
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +79,18 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove(table(spark, folder, "documents"), min_bytes=50, kept=False)
 
 
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_wordbpe(spark: SparkSession, folder: str) -> DataFrame:
+    return word_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_bpe": op2_bpe,
@@ -75,9 +102,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lines": op8_lines,
     "op9_jaccard": op9_jaccard,
     "op10_repeats": op10_repeats,
+    "op11_lexical": op11_lexical,
+    "op12_spelling": op12_spelling,
+    "op13_wordbpe": op13_wordbpe,
 }
 
 ORACLE: dict[str, str] = {
     "op3_toolcalls": toolcalls.ORACLE,
     "op5_urls": urls.oracle_sql(),
+    "op11_lexical": lexical.ORACLE,
 }

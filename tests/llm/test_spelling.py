@@ -1,0 +1,127 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from retrolane.llm import spelling
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+LOWER = {code: code + 32 for code in range(65, 91)}
+
+
+def edits(word, letters):
+    out = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    out |= {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in letters}
+    out |= {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
+    return out - {word}
+
+
+def brute(docs, letters=6, times=5):
+    count = Counter()
+    for doc, text in docs:
+        for run in RUN.findall(text or ""):
+            run = run.translate(LOWER)
+            if doc is not None:
+                h = zlib.crc32(f"{doc}:{run}".encode())
+                if h % 199 == 0:
+                    run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    words = {w: n for w, n in count.items() if len(w) >= letters and n >= times}
+    known = sorted({c for w in words for c in w})
+    form, near = {}, {}
+    for word, n in words.items():
+        others = [o for o in edits(word, known) if o in words]
+        near[word] = len(others)
+        best = min(others, key=lambda o: (-words[o], o), default=None)
+        form[word] = best if best is not None and words[best] >= 5 * n else None
+    out = set()
+    for word, n in words.items():
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        out.add((word, form[word], root, n, near[word], words.get(form[word])))
+    return out
+
+
+def sample(seed, many):
+    rng = random.Random(seed)
+    base = ["banana", "Bandana", "straße", "Müller", "naïveté", "ÀÉÎÕÜÿ", "aaaaaa", "aaaaaaa", "kitten", "sitten", "x×÷ÿabc"]
+    docs = []
+    for number in range(many):
+        said = []
+        for _ in range(rng.randrange(30)):
+            word = base[min(int(rng.expovariate(0.35)), len(base) - 1)]
+            if rng.random() < 0.3:
+                at = rng.randrange(len(word))
+                word = rng.choice([word[:at] + word[at + 1 :], word[:at] + "a" + word[at:], word[:at] + "b" + word[at + 1 :]])
+            said.append(word)
+        docs.append((number, rng.choice([" ", ", ", "日", "́", "1"]).join(said)))
+    return docs
+
+
+def frame(spark, docs):
+    rows = [(doc, text, "clash", 1) for doc, text in docs]
+    return spark.createDataFrame(rows, "doc_id long, text string, word string, n int").repartition(4)
+
+
+def found(spark, docs, **options):
+    out = spelling.variants(frame(spark, docs), **options)
+    assert out.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    rows = [tuple(row) for row in out.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_equal_to_brute_force_with_damage_nulls_and_repeats(spark, monkeypatch):
+    docs = sample(1, 400) + [(7, "kitten kitten mitten")] * 9
+    docs += [(8000 + i, "zz" * 400 + "y" * (i % 2) + "zz" * 400) for i in range(14)]
+    docs += [(None, "banana bananas"), (None, None), (9000, None), (9001, ""), (9002, "12 . 日本"), (9003, "bananas " * 50_000)]
+    want = brute(docs)
+    assert any(form for _, form, *_ in want) and any(root not in (word, form) for word, form, root, *_ in want)
+    assert found(spark, docs) == want
+    monkeypatch.setattr(spelling, "HELD_WORDS", 20)
+    monkeypatch.setattr(spelling, "PROBE_CELLS", 3000)
+    assert found(spark, docs, filter_bytes=100) == want  # several rounds, tables emptied in between
+
+
+def test_damage_is_applied_to_the_marked_runs():
+    hit = next(d for d in range(5000) if zlib.crc32(f"{d}:straße".encode()) % 199 == 0)
+    h = zlib.crc32(f"{hit}:straße".encode())
+    assert spelling.damaged(hit, "straße".encode("latin-1"), 199).decode("latin-1") == "straße"[: h % 6] + "straße"[h % 6 + 1 :]
+    assert spelling.damaged(hit, b"x", None) == b"x" and spelling.damaged(None, b"abc", 1) == b"abc"
+    assert spelling.damaged(hit, b"x", 1) == b""
+
+
+def test_hashes_of_edits_are_those_of_the_edited_words():
+    rng = random.Random(3)
+    for length in (2, 6, 11):
+        words = [bytes(rng.choice(spelling.EDIT_LETTERS.tolist()) for _ in range(length)) for _ in range(20)]
+        rows = spelling.letters_of(words)
+        gone, changed = spelling.deletions(rows), spelling.replacements(rows, spelling.EDIT_LETTERS)
+        for r, word in enumerate(words):
+            for p in range(length):
+                assert gone[r, p] == spelling.hashes(spelling.letters_of([word[:p] + word[p + 1 :]]))[0]
+                for c in (0, 30, 80):
+                    edit = word[:p] + bytes([spelling.EDIT_LETTERS[c]]) + word[p + 1 :]
+                    assert changed[r, p, c] == spelling.hashes(spelling.letters_of([edit]))[0]
+
+
+def test_filters_miss_no_word_and_pass_few_others():
+    rng = np.random.default_rng(1)
+    words = rng.choice(spelling.EDIT_LETTERS, (3000, 8))
+    filters = spelling.Filters({8: 3000, 9: 1}, 1)
+    table = np.zeros(filters.words, np.uint64)
+    for places, masks in filters.bits(8, spelling.hashes(words)):
+        np.bitwise_or.at(table, places, masks)
+    assert filters.have(table, 8, spelling.hashes(words)).all()
+    others = rng.choice(spelling.EDIT_LETTERS, (50_000, 8))
+    assert filters.have(table, 8, spelling.hashes(others)).mean() < 0.02
+
+
+def test_long_chains_reach_their_root_and_empty_tables_stay_empty(spark):
+    forms = spark.createDataFrame([(str(i), str(i + 1)) for i in range(13)], "word string, form string")
+    assert {row["root"] for row in spelling.roots(forms).collect()} == {"13"}
+    assert found(spark, []) == set()
+    assert found(spark, [(1, "short"), (2, None)]) == set()
