@@ -33,9 +33,19 @@ EXPORT_FIELDS: dict[str, str] = {
 }
 
 
+def mailing(couriers: DataFrame) -> DataFrame:
+    """Couriers that are mailed: enabled and with a template."""
+    return couriers.where((F.col("enabled") == 1) & (F.col("soft_data_template") != ""))
+
+
+def mailed_couriers(couriers: DataFrame) -> DataFrame:
+    """Each code of a courier that is mailed, once; templates are not parsed for it."""
+    return mailing(couriers).where("code IS NOT NULL").select(F.col("code").alias("courier_code")).distinct()
+
+
 def courier_templates(couriers: DataFrame) -> DataFrame:
     """Enabled couriers that have a template, with the mail texts and the parsed column list."""
-    wanted = couriers.where((F.col("enabled") == 1) & (F.col("soft_data_template") != ""))
+    wanted = mailing(couriers)
     greeting = F.lit("Hi<br><br>Please find attached Manifest File.")
     return wanted.select(
         F.col("code").alias("courier_code"),

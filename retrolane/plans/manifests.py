@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retrolane.clock import Clock
 from retrolane.operators.hotkeys import fanout_left_join
 from retrolane.operators.serial import numbered
-from retrolane.operators.template import courier_templates, fill_template
+from retrolane.operators.template import courier_templates, fill_template, mailed_couriers
 from retrolane.plans.parts import items, sheet_lines, sheets
 from retrolane.sources.catalog import Catalog
 
@@ -47,23 +47,27 @@ def with_line_details(c: Catalog, lines: DataFrame) -> DataFrame:
     )
 
 
-def _export(c: Catalog, manifests: DataFrame, constants: bool) -> DataFrame:
-    """Filled templates of the manifests' lines.
+def export_lines(c: Catalog, lines: DataFrame, constants: bool) -> DataFrame:
+    """Filled templates of manifest lines whose couriers have one.
 
     Lines are numbered while they carry keys only; the wide columns join afterwards.
     Filling in constants needs no wide columns at all.
     """
-    templates = courier_templates(c.couriers)
-    wanted = manifests.join(templates.select("courier_code"), "courier_code", "left_semi")
-    lines = manifest_lines(c, wanted).withColumn("serial_key", F.coalesce("item_id", "sheet_id"))
+    lines = lines.withColumn("serial_key", F.coalesce("item_id", "sheet_id"))
     lines = numbered(lines, ["courier_code", "warehouse"], ["serial_key", "sheet_id", "manifest_id"])
     if not constants:
         lines = with_line_details(c, lines)
-    filled = fill_template(lines.join(templates, "courier_code"), constants)
+    filled = fill_template(lines.join(courier_templates(c.couriers), "courier_code"), constants)
     subject = F.concat("mail_subject", F.lit(" : "), "warehouse")
     return filled.select("courier_code", "warehouse", "sno", "cells", "to_email", "mail_body", subject.alias("subject"))
 
 
+def _export(c: Catalog, manifests: DataFrame, constants: bool) -> DataFrame:
+    """Filled templates of the manifests' lines."""
+    wanted = manifests.join(mailed_couriers(c.couriers), "courier_code", "left_semi")
+    return export_lines(c, manifest_lines(c, wanted), constants)
+
+
 def courier_manifest_export(c: Catalog, clock: Clock, days: int = 1) -> DataFrame:
     """Items manifested in the last days per courier and warehouse, one filled template per row."""
     return _export(c, c.manifest.where(clock.last("created", days=days)), constants=False)
@@ -79,11 +83,6 @@ def manifest_on_print(c: Catalog, clock: Clock, minutes: int = 10) -> DataFrame:
     return _export(c, c.manifest.where(pending(clock, minutes)), constants=True)
 
 
-def on_print_export(c: Catalog, manifests: DataFrame) -> DataFrame:
-    """The given manifests, filled with the template's constants."""
-    return _export(c, manifests, constants=True)
-
-
 def manifest_flags_after(c: Catalog, clock: Clock, minutes: int | None = None) -> DataFrame:
     """The manifest table after the mails: flags of enabled couriers with a template taken down.
 
@@ -91,7 +90,7 @@ def manifest_flags_after(c: Catalog, clock: Clock, minutes: int | None = None) -
     ``minutes`` only those of manifests printed within them do, so that older ones stay to be mailed.
     """
     sent = F.col("is_email_sent") == 1 if minutes is None else pending(clock, minutes)
-    mailed = courier_templates(c.couriers).select("courier_code").distinct().withColumn("mailed", F.lit(True))
+    mailed = mailed_couriers(c.couriers).withColumn("mailed", F.lit(True))
     flag = F.when(sent & F.col("mailed"), F.lit(0)).otherwise(F.col("is_email_sent"))
     return c.manifest.join(mailed, "courier_code", "left").select(
         *[flag.alias(name) if name == "is_email_sent" else F.col(name) for name in c.manifest.columns]
@@ -100,7 +99,7 @@ def manifest_flags_after(c: Catalog, clock: Clock, minutes: int | None = None) -
 
 def manifest_flags_raised(c: Catalog) -> DataFrame:
     """The manifest table after the daily export: flags of enabled couriers with a template are up."""
-    mailed = courier_templates(c.couriers).select("courier_code").distinct().withColumn("mailed", F.lit(True))
+    mailed = mailed_couriers(c.couriers).withColumn("mailed", F.lit(True))
     flag = F.when(F.col("mailed"), F.lit(1)).otherwise(F.col("is_email_sent"))
     return c.manifest.join(mailed, "courier_code", "left").select(
         *[flag.alias(name) if name == "is_email_sent" else F.col(name) for name in c.manifest.columns]

@@ -3,7 +3,13 @@ from datetime import timedelta
 import pytest
 
 from retrolane.session import shared_folder
-from retrolane.streaming.on_print import cells_written, run_stream, take_batch, windows_written
+from retrolane.streaming.on_print import (
+    cells_written,
+    manifests_waiting,
+    run_stream,
+    take_batch,
+    windows_written,
+)
 from tests.conftest import at
 
 SCHEMA = "id BIGINT, created TIMESTAMP_NTZ, updated TIMESTAMP_NTZ, courier_code STRING, is_email_sent INT"
@@ -85,6 +91,106 @@ def test_a_batch_that_runs_again_adds_nothing(spark, tables, tmp_path):
     assert counted(windows_written(spark, out)) == expected(rows(0, 30))
 
 
+def swapped(make, tables, **changed):
+    """The test tables with some of them changed."""
+    kept = {name: [row.asDict() for row in getattr(tables, name).collect()] for name in
+            ("couriers", "manifest_rtv_sheet_detail", "rtv_sheet_detail", "warehouse")}
+    return make(**{**kept, **changed})
+
+
+def with_courier(code, enabled):
+    return [{**courier, "enabled": enabled} if courier["code"] == code else courier for courier in COURIERS]
+
+
+def ids(df):
+    return sorted(row["id"] for row in df.collect())
+
+
+def test_manifests_wait_until_their_courier_is_due(spark, make, tables, tmp_path):
+    source, out, progress, news = (str(tmp_path / name) for name in ("in", "out", "progress", "news"))
+
+    def run(c, data, changed=None):
+        for rows_in, schema, folder in ((data, SCHEMA, source), (changed, "code STRING", news)):
+            if rows_in:
+                spark.createDataFrame(rows_in, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        changes = spark.readStream.schema("code STRING").parquet(news)
+        run_stream(c, stream, out, progress, changes).awaitTermination()
+
+    def done():
+        return sorted(r["id"] for r in spark.read.parquet(f"{out}/windows").selectExpr("manifest_id AS id").collect())
+
+    of_c2 = [(n, START, None, "c2", 1) for n in (2, 6, 10, 14, 18)]
+    spark.createDataFrame([("c2",)], "code STRING").write.parquet(news)
+    run(tables, of_c2 + [(4, START, None, "c0", 1), (8, START, None, None, 1), (12, START, None, "", 1)])
+    assert done() == [4]
+    assert ids(manifests_waiting(spark, out)) == [2, 6, 8, 10, 12, 14, 18]
+    enabled = swapped(make, tables, couriers=with_courier("c2", 1))
+    run(enabled, [(22, START, None, "c2", 1), (26, START, None, "c2", 1), (2, START, None, "c2", 1)])
+    assert done() == [2, 4, 6, 10, 14, 18, 22, 26]
+    # off again: new ones wait; a change alone, without a manifest, releases just these
+    run(tables, [(30, START, None, "c2", 1), (22, START, None, "c2", 1)])
+    run(tables, [(34, START, None, "c2", 1)])
+    assert ids(manifests_waiting(spark, out)) == [8, 12, 30, 34]
+    run(enabled, [], changed=[("c2",)])
+    assert done() == [2, 4, 6, 10, 14, 18, 22, 26, 30, 34]
+    assert [r["reason"] for r in manifests_waiting(spark, out).collect()] == ["courier", "courier"]
+    run(swapped(make, tables, couriers=[*COURIERS, {"code": "", "enabled": 1, "soft_data_template": TEMPLATE}]), [], [("",)])
+    assert 12 in done() and ids(manifests_waiting(spark, out)) == [8]
+
+
+def test_manifests_wait_for_their_lines(spark, make, tables, tmp_path):
+    out = str(tmp_path / "out")
+    batch = spark.createDataFrame(rows(0, 20), SCHEMA)
+    nothing = batch.limit(0)
+    bare = swapped(make, tables, manifest_rtv_sheet_detail=[])
+    take_batch(bare, batch, 0, out)
+    assert counted(windows_written(spark, out)) == {}
+    take_batch(bare, nothing, 1, out)
+    disabled = swapped(make, tables, couriers=with_courier("c0", 0), manifest_rtv_sheet_detail=[])
+    take_batch(disabled, nothing, 2, out)  # those of c0 move to the parked ones
+    take_batch(tables, nothing, 3, out)
+    take_batch(tables, nothing, 4, out)
+    assert counted(windows_written(spark, out)) == expected(rows(0, 20))
+    assert cells_written(spark, out).where("title = 'No'").count() == len(wanted(rows(0, 20)))
+
+
+def test_a_batch_reads_only_the_buckets_of_its_ids(spark, tables, tmp_path, monkeypatch):
+    from retrolane.streaming import on_print
+
+    read = []
+    stored = on_print._stored
+
+    def spy(session, schema, path, base=None):
+        df = stored(session, schema, path, base)
+        if "/seen" in path:
+            read.append(sum(len(part) for part in [df.inputFiles()]))
+        return df
+
+    monkeypatch.setattr(on_print, "_stored", spy)
+    monkeypatch.setattr(on_print, "BUCKET_IDS", 10)
+    out = str(tmp_path / "out")
+    for number in range(8):
+        take_batch(tables, spark.createDataFrame(rows(10 * number, 10 * number + 10), SCHEMA), number, out)
+    assert read == [0, 1] * 8  # no file of earlier batches, then the batch's own one
+    read.clear()
+    take_batch(tables, spark.createDataFrame(rows(35, 45), SCHEMA), 8, out)
+    assert read[0] == 2
+    monkeypatch.setattr(on_print, "MOST_BUCKETS", 2)
+    take_batch(tables, spark.createDataFrame(rows(0, 100), SCHEMA), 9, out)
+    assert counted(windows_written(spark, out)) == expected(rows(0, 100))
+
+
+def test_an_output_folder_belongs_to_one_progress_folder(spark, tables, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(rows(0, 20), SCHEMA).write.parquet(source)
+    stream = spark.readStream.schema(SCHEMA).parquet(source)
+    run_stream(tables, stream, out, str(tmp_path / "first")).awaitTermination()
+    with pytest.raises(Exception, match="another stream"):
+        run_stream(tables, stream, out, str(tmp_path / "second")).awaitTermination()
+    assert counted(windows_written(spark, out)) == expected(rows(0, 20))
+
+
 def test_a_cluster_must_name_its_shared_folder():
     class Session:
         class conf:
