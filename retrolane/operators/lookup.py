@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retrolane.operators.hotkeys import distinct_keys, splittable_join
+from retrolane.operators.hotkeys import asked_keys, splittable_join
 from retrolane.sources.catalog import Catalog
 
 CUSTOMER_COLUMNS = (
@@ -50,8 +50,8 @@ def customer_names(c: Catalog, barcodes: DataFrame) -> DataFrame:
 def with_customer(c: Catalog, rows: DataFrame, asked: DataFrame) -> DataFrame:
     """Adds the customer columns to a listing keyed by ``barcode``; no match leaves NULLs.
 
-    ``asked`` holds at least the listing's barcodes. It may be a cheaper plan that
-    yields more of them, since it only narrows what is looked up.
+    ``asked`` holds at least the listing's barcodes, best a shared frame that the listing
+    was made from. It may yield more of them, since it only narrows what is looked up.
     """
-    details = customer_details(c, distinct_keys(asked, "barcode"))
+    details = customer_details(c, asked_keys(asked, "barcode"))
     return splittable_join(rows, details, "barcode", "left")

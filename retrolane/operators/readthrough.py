@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retrolane.operators.hotkeys import distinct_keys, splittable_join
+from retrolane.operators.hotkeys import POSITION, distinct_keys, shared, splittable_join, with_position
 from retrolane.operators.lookup import returned_items
 from retrolane.sources.catalog import Catalog
 
@@ -55,19 +55,30 @@ class Milestone:
             .where(F.col("status_time").isNotNull())
         )
 
+    def held(self, c: Catalog, barcodes: DataFrame) -> DataFrame:
+        """The cache cut to the wanted (distinct) barcodes, with positions, behind one exchange.
+
+        Whatever asks the cache in a query reads this exchange, so the cache is read once.
+        """
+        known = with_position(self.cached(c).where(F.col("barcode").isNotNull()))
+        return shared(splittable_join(known, barcodes, "barcode", "left_semi"))
+
     def additions(self, c: Catalog, barcodes: DataFrame) -> DataFrame:
         """History rows of the barcodes the cache does not hold yet; these are appended to it."""
-        held = distinct_keys(self.cached(c), "barcode")
-        return self.history(c, barcodes.join(held, "barcode", "left_anti"))
+        known = distinct_keys(self.held(c, barcodes), "barcode")
+        return self.history(c, barcodes.join(known, "barcode", "left_anti"))
 
     def resolve(self, c: Catalog, barcodes: DataFrame) -> DataFrame:
-        """Cached times, else the first historical one, for the wanted (distinct) barcodes."""
-        known = splittable_join(self.cached(c), barcodes, "barcode", "left_semi")
+        """Cached times, else the first historical one, for the wanted (distinct) barcodes; with positions."""
         first = self.additions(c, barcodes).groupBy("barcode").agg(F.min("status_time").alias("status_time"))
-        return known.unionByName(first)
+        return self.held(c, barcodes).unionByName(first.withColumn(POSITION, F.lit(0).cast("bigint")))
+
+    def extended(self, c: Catalog, barcodes: DataFrame) -> DataFrame:
+        """The dates of the wanted (distinct) barcodes as the cache holds them after the additions were appended."""
+        return self.held(c, barcodes).drop(POSITION).unionByName(self.additions(c, barcodes))
 
     def refreshed(self, c: Catalog, barcodes: DataFrame) -> DataFrame:
-        """The cache as it stands after the additions were appended."""
+        """The whole cache as it stands after the additions were appended."""
         return self.cached(c).unionByName(self.additions(c, barcodes))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retrolane.clock import Clock
 from retrolane.functions.labels import Sites, qc_site_label, warehouse_label
 from retrolane.functions.metrics import percent, percent_floor
-from retrolane.operators.hotkeys import distinct_keys, fanout_left_join, splittable_join
+from retrolane.operators.hotkeys import asked_keys, distinct_keys, fanout_left_join, shared, splittable_join
 from retrolane.plans.funnels import rule_flags, side_by_side
 from retrolane.plans.parts import items, real_change, with_rules, with_user
 from retrolane.sources.catalog import Catalog
@@ -63,11 +63,11 @@ def rpr_cohort_putaway(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
     are first combined per (day, item), which also folds the items not found
     into one row per day.
     """
-    cohort = rpr_cohort_staging(c, clock, days)
+    cohort = shared(rpr_cohort_staging(c, clock, days))
     stock = items(c).select("item_id", "barcode", "rule_id", "is_bulk_rule", "status")
     # only the cohort's items are counted and joined; a small cohort is broadcast here and spares the shuffle of stock
-    stock = splittable_join(stock, distinct_keys(cohort, "barcode"), "barcode", "left_semi")
-    rows = with_rules(c, fanout_left_join(cohort, stock, "barcode")).withColumn("date", F.to_date("rpr_date_time"))
+    found = fanout_left_join(cohort, stock, "barcode", wanted=asked_keys(cohort, "barcode"))
+    rows = with_rules(c, found).withColumn("date", F.to_date("rpr_date_time"))
     per_item = rows.groupBy("date", "item_id").agg(
         F.count("*").alias("rows"),
         F.count_if(F.col("status") == "RTV").alias("returned"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retrolane.clock import Clock, moment
 from retrolane.functions.text import same_text, text_or_empty, yes_no
-from retrolane.operators.hotkeys import distinct_keys, fanout_left_join, splittable_join
+from retrolane.operators.hotkeys import asked_keys, fanout_left_join, shared, splittable_join
 from retrolane.operators.lookup import with_customer
 from retrolane.plans.parts import (
     dispatched,
@@ -40,14 +40,15 @@ def rule_listing(c: Catalog, rule_name: str, since: datetime) -> DataFrame:
     """Dispatched items put away under one rule, with gate-pass flag and customer."""
     rule = c.rules.where(same_text(F.col("rule_name"), rule_name)).select(F.col("id").alias("rule_id"))
     recent = sheets(c).where(F.col("sheet_created") > moment(since)).select("sheet_id")
-    ruled = items(c).join(rule, "rule_id")
-    rows = dispatched(c, recent, with_gate_pass(c, ruled))
-    rows = with_user(c, rows.withColumnRenamed("created_by_id", "user_id"), "user_id")
-    rows = rows.select(
-        "putaway_date", "suborder_code", "sheet_id", "barcode", "issue_category", "product_name",
-        "forward_awb_number", "seller_name", "vendor_code", "gate_pass_date", "username",
+    ruled = items(c).join(rule, "rule_id").withColumnRenamed("created_by_id", "user_id")
+    rows = with_user(c, dispatched(c, recent, ruled), "user_id")
+    rows = shared(
+        rows.select(
+            "putaway_date", "suborder_code", "sheet_id", "barcode", "issue_category", "product_name",
+            "forward_awb_number", "seller_name", "vendor_code", "username",
+        )
     )
-    full = with_customer(c, rows, asked=ruled)
+    full = with_customer(c, with_gate_pass(c, rows, asked=rows), asked=rows)
     return full.select(
         "putaway_date", "ticket_id", "suborder_code", F.col("sheet_id").alias("rtv_sheet_detail_id"), "barcode",
         "issue_category", "product_name", F.col("forward_awb_number").alias("rpu_waybill_no"), "seller_name",
@@ -76,13 +77,15 @@ def liquidation_listing(c: Catalog, since: datetime) -> DataFrame:
         )
         .withColumn("rule_name", F.when(F.col("has_bulk"), F.col("bulk_rule")).otherwise(F.col("normal_rule")))
     )
-    rows = fanout_left_join(ruled, sheet_lines(c), "item_id")
-    rows = with_gate_pass(c, with_user(c, rows.withColumnRenamed("created_by_id", "user_id"), "user_id"))
-    rows = rows.select(
-        "putaway_date", "rule_name", "suborder_code", "sheet_id", "barcode", "issue_category",
-        "product_name", "forward_awb_number", "seller_name", "vendor_code", "gate_pass_date", "username",
+    ruled = with_user(c, ruled.withColumnRenamed("created_by_id", "user_id"), "user_id")
+    ruled = shared(
+        ruled.select(
+            "item_id", "putaway_date", "rule_name", "suborder_code", "barcode", "issue_category", "product_name",
+            "forward_awb_number", "seller_name", "vendor_code", "username",
+        )
     )
-    full = with_customer(c, rows, asked=ruled)
+    rows = fanout_left_join(ruled, sheet_lines(c), "item_id", wanted=asked_keys(ruled, "item_id"))
+    full = with_customer(c, with_gate_pass(c, rows, asked=ruled), asked=ruled)
     return full.select(
         "putaway_date", "rule_name", "ticket_id", "suborder_code", F.col("sheet_id").alias("rtv_sheet_detail_id"),
         "barcode", "issue_category", "product_name", F.col("forward_awb_number").alias("rpu_waybill_no"),
@@ -93,7 +96,7 @@ def liquidation_listing(c: Catalog, since: datetime) -> DataFrame:
 
 def latest_dispatch(c: Catalog, wanted: DataFrame) -> DataFrame:
     """Per wanted item the sheet dispatched last, so that many dispatches of one item stay one row."""
-    lines = splittable_join(sheet_lines(c), distinct_keys(wanted, "item_id"), "item_id", "left_semi")
+    lines = splittable_join(sheet_lines(c), asked_keys(wanted, "item_id"), "item_id", "left_semi")
     sent = lines.join(sheets(c).select("sheet_id", "dispatch_date", "sheet_courier"), "sheet_id")
     latest = F.max(F.struct(F.col("dispatch_date").alias("rtv_date"), "sheet_id", "sheet_courier")).alias("latest")
     return sent.groupBy("item_id").agg(latest).select("item_id", "latest.*")
@@ -105,8 +108,14 @@ def putaway_master(c: Catalog, clock: Clock, days: int = 1) -> DataFrame:
     The row kept per barcode is the one dispatched last; ties fall to the higher
     sheet number and then to the lower item number.
     """
-    recent = items(c).where(clock.closed_days("putaway_date", days))
-    rows = with_user(c, with_rules(c, recent).withColumnRenamed("created_by_id", "user_id"), "user_id")
+    recent = items(c).where(clock.closed_days("putaway_date", days)).withColumnRenamed("created_by_id", "user_id")
+    recent = shared(
+        recent.select(
+            "item_id", "barcode", "putaway_date", "forward_awb_number", "suborder_code", "issue_category", "rule_id",
+            "is_bulk_rule", "status", "product_name", "price", "user_id", "item_warehouse_id",
+        )
+    )
+    rows = with_user(c, with_rules(c, recent), "user_id")
     rows = with_warehouse(c, rows, "item_warehouse_id")
     rows = splittable_join(rows, latest_dispatch(c, recent), "item_id", "left")
     shown = (
@@ -129,10 +138,12 @@ def rtv_data(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
     recent = sheets(c).where(clock.last("dispatch_date", days=days) & F.col("sheet_courier").isNotNull())
     recent = with_warehouse(c, recent, "sheet_warehouse_id")
     recent = with_user(c, recent.withColumnRenamed("updated_by_id", "user_id"), "user_id", "left")
-    rows = dispatched(c, recent, items(c)).select(
-        "sheet_created", "dispatch_date", "sheet_id", "item_id", "suborder_code", "barcode", "product_name",
-        "issue_category", "seller_name", "vendor_code", "price", "putaway_date", "forward_awb_number",
-        "manifest_date", "sheet_courier", "awb_number", "username", "warehouse_code",
+    rows = shared(
+        dispatched(c, recent, items(c)).select(
+            "sheet_created", "dispatch_date", "sheet_id", "item_id", "suborder_code", "barcode", "product_name",
+            "issue_category", "seller_name", "vendor_code", "price", "putaway_date", "forward_awb_number",
+            "manifest_date", "sheet_courier", "awb_number", "username", "warehouse_code",
+        )
     )
     full = with_customer(c, rows, asked=rows)
     return full.orderBy(F.desc("dispatch_date"), "sheet_id", "item_id").select(

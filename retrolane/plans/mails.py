@@ -15,7 +15,7 @@ from retrolane.plans.cohorts import rpr_cohort_summary, warehouse_rpr_summary
 from retrolane.plans.couriers import courier_wise_rtv
 from retrolane.plans.funnels import daily_summary, putaway_and_rtv, rpi_report
 from retrolane.plans.operations import tracking_numbers_left
-from retrolane.plans.turnaround import rpr_to_qc_summary, to_dispatch_summary, with_refreshed_cache
+from retrolane.plans.turnaround import refreshed_summary, rpr_to_qc_summary
 from retrolane.sinks import titles
 from retrolane.sources.catalog import Catalog
 
@@ -68,8 +68,7 @@ def rpr_to_qc_body(c: Catalog, clock: Clock, sites: Sites, days: int = 7) -> Dat
 
 def to_dispatch_body(c: Catalog, clock: Clock, sites: Sites, milestone: Milestone, days: int = 7) -> DataFrame:
     """The turnaround table after the listing refreshed its cache."""
-    refreshed = with_refreshed_cache(c, clock, milestone, days)
-    summary = to_dispatch_summary(refreshed, clock, sites, milestone, days)
+    summary = refreshed_summary(c, clock, sites, milestone, days)
     return report_body(summary, titles.TO_DISPATCH_SUMMARY, F.col("total_dispatch"))
 
 

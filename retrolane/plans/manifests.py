@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retrolane.clock import Clock
-from retrolane.operators.hotkeys import fanout_left_join
+from retrolane.operators.hotkeys import asked_keys, fanout_left_join, shared, splittable_join
 from retrolane.operators.serial import numbered
 from retrolane.operators.template import courier_templates, fill_template, mailed_couriers
 from retrolane.plans.parts import items, sheet_lines, sheets
@@ -27,11 +27,15 @@ def manifest_lines(c: Catalog, manifests: DataFrame) -> DataFrame:
         F.col("id").alias("manifest_id"), F.col("created").alias("manifest_created"), "courier_code"
     )
     packed = chosen.join(sheet_of, "manifest_id").join(sheets(c).select("sheet_id", "sheet_warehouse_id"), "sheet_id")
-    return fanout_left_join(packed.join(names, "sheet_warehouse_id"), sheet_lines(c), "sheet_id")
+    packed = shared(packed.join(names, "sheet_warehouse_id"))
+    return fanout_left_join(packed, sheet_lines(c), "sheet_id", wanted=asked_keys(packed, "sheet_id"))
 
 
-def with_line_details(c: Catalog, lines: DataFrame) -> DataFrame:
-    """Adds what a template may show of sheet, receiver, warehouse, address and item."""
+def with_line_details(c: Catalog, lines: DataFrame, asked: DataFrame) -> DataFrame:
+    """Adds what a template may show of sheet, receiver, warehouse, address and item.
+
+    ``asked`` is a shared frame that holds at least the lines' items: the stock is cut to them first.
+    """
     receivers = c.receiver_detail.select(
         F.col("id").alias("receiver_id"), F.col("name").alias("receiver_name"), F.col("email").alias("receiver_email")
     )
@@ -43,7 +47,7 @@ def with_line_details(c: Catalog, lines: DataFrame) -> DataFrame:
         .join(receivers, "receiver_id", "left")
         .join(codes, "sheet_warehouse_id", "left")
         .join(addresses, "sheet_warehouse_id", "left")
-        .join(items(c), "item_id", "left")
+        .join(splittable_join(items(c), asked_keys(asked, "item_id"), "item_id", "left_semi"), "item_id", "left")
     )
 
 
@@ -53,11 +57,11 @@ def export_lines(c: Catalog, lines: DataFrame, constants: bool) -> DataFrame:
     Lines are numbered while they carry keys only; the wide columns join afterwards.
     Filling in constants needs no wide columns at all.
     """
-    lines = lines.withColumn("serial_key", F.coalesce("item_id", "sheet_id"))
-    lines = numbered(lines, ["courier_code", "warehouse"], ["serial_key", "sheet_id", "manifest_id"])
+    lines = shared(lines.withColumn("serial_key", F.coalesce("item_id", "sheet_id")))
+    numbered_lines = numbered(lines, ["courier_code", "warehouse"], ["serial_key", "sheet_id", "manifest_id"])
     if not constants:
-        lines = with_line_details(c, lines)
-    filled = fill_template(lines.join(courier_templates(c.couriers), "courier_code"), constants)
+        numbered_lines = with_line_details(c, numbered_lines, lines)
+    filled = fill_template(numbered_lines.join(courier_templates(c.couriers), "courier_code"), constants)
     subject = F.concat("mail_subject", F.lit(" : "), "warehouse")
     return filled.select("courier_code", "warehouse", "sno", "cells", "to_email", "mail_body", subject.alias("subject"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retrolane.operators.hotkeys import fanout_left_join, splittable_join
+from retrolane.operators.hotkeys import asked_keys, fanout_left_join, splittable_join
 from retrolane.sources.catalog import Catalog
 
 
@@ -68,10 +68,14 @@ def with_warehouse(c: Catalog, rows: DataFrame, key: str, how: str = "inner") ->
     return rows.join(known, key, how)
 
 
-def with_gate_pass(c: Catalog, rows: DataFrame) -> DataFrame:
-    """Adds gate-pass dates; an item with several passes appears once per pass."""
+def with_gate_pass(c: Catalog, rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """Adds gate-pass dates; an item with several passes appears once per pass.
+
+    ``asked`` is a frame, best a shared one, that holds at least the rows' barcodes.
+    """
     passes = c.gate_pass.where(F.col("barcode").isNotNull())
-    return fanout_left_join(rows, passes.select("barcode", F.col("created").alias("gate_pass_date")), "barcode")
+    passes = passes.select("barcode", F.col("created").alias("gate_pass_date"))
+    return fanout_left_join(rows, passes, "barcode", wanted=asked_keys(asked, "barcode"))
 
 
 def real_change(history: DataFrame, status: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retrolane.clock import Clock
 from retrolane.functions.labels import Sites, detail_warehouse_label, qc_site_label, warehouse_label
 from retrolane.functions.metrics import bucket_names, item_buckets, percent_one_decimal, row_buckets
-from retrolane.operators.hotkeys import distinct_keys, fanout_left_join, splittable_join
+from retrolane.operators.hotkeys import ABSENT, asked_keys, distinct_keys, fanout_left_join, shared, splittable_join
 from retrolane.operators.readthrough import Milestone, status_change
 from retrolane.operators.totals import named_total, per_item_with_total
 from retrolane.plans.parts import (
@@ -22,25 +22,34 @@ from retrolane.plans.parts import (
 from retrolane.sources.catalog import Catalog
 
 
-def _recent_dispatches(c: Catalog, clock: Clock, days: int) -> DataFrame:
-    """Items dispatched in the window and marked as returned to the vendor."""
+def _recent_dispatches(c: Catalog, clock: Clock, days: int, *columns: str) -> DataFrame:
+    """Items dispatched in the window and marked as returned to the vendor, as much of them as is asked for."""
     recent = sheets(c).where(clock.closed_days("dispatch_date", days))
     recent = recent.select("sheet_id", "dispatch_date", "sheet_warehouse_id", F.col("updated_by_id").alias("user_id"))
-    return dispatched(c, recent, items(c).where(F.col("status") == "RTV"))
+    return dispatched(c, recent, items(c).where(F.col("status") == "RTV")).select(*columns)
 
 
 def dispatched_barcodes(c: Catalog, clock: Clock, days: int = 7) -> DataFrame:
     """Barcodes the turnaround listing asks a status date for."""
-    return distinct_keys(_recent_dispatches(c, clock, days), "barcode")
+    return distinct_keys(_recent_dispatches(c, clock, days, "barcode"), "barcode")
+
+
+DETAIL = (
+    "barcode", "suborder_code", "issue_category", "putaway_date", "dispatch_date", "rule_id", "is_bulk_rule",
+    "user_id", "item_warehouse_id", "sheet_warehouse_id",
+)
+TIMED = ("item_id", "barcode", "item_warehouse_id", "dispatch_date", "user_id", "sheet_warehouse_id")
 
 
 def to_dispatch_detail(c: Catalog, clock: Clock, sites: Sites, milestone: Milestone, days: int = 7) -> DataFrame:
     """Dispatched items with the milestone's date from the cache or, failing that, from history.
 
-    Several cached dates of one barcode repeat its row.
+    Several cached dates of one barcode repeat its row. The dispatches and the cache's part of them
+    are each computed once, for the barcodes asked for as for the rows.
     """
-    rows = _recent_dispatches(c, clock, days)
-    dates = milestone.resolve(c, distinct_keys(rows, "barcode"))
+    rows = shared(_recent_dispatches(c, clock, days, *DETAIL))
+    barcodes = asked_keys(rows, "barcode")
+    dates = milestone.resolve(c, barcodes)
 
     wide = with_user(c, with_rules(c, rows), "user_id", "left")
     wide = with_warehouse(c, wide, "sheet_warehouse_id", "left")
@@ -49,7 +58,7 @@ def to_dispatch_detail(c: Catalog, clock: Clock, sites: Sites, milestone: Milest
         "barcode", "suborder_code", "issue_category", "putaway_date", "dispatch_date", "rule_name", "username",
         "warehouse_code", "warehouse",
     )
-    return fanout_left_join(wide, dates, "barcode", counted=milestone.cached(c)).select(
+    return fanout_left_join(wide, dates, "barcode", counted=milestone.held(c, barcodes)).select(
         "suborder_code", "issue_category", "putaway_date", "dispatch_date",
         F.col("status_time").alias(milestone.date_column), "rule_name", "username", "warehouse_code", "warehouse",
     )
@@ -70,14 +79,26 @@ def with_refreshed_cache(c: Catalog, clock: Clock, milestone: Milestone, days: i
 def to_dispatch_summary(c: Catalog, clock: Clock, sites: Sites, milestone: Milestone, days: int = 7) -> DataFrame:
     """Share of distinct items dispatched within 1, 2, 3, 5 and over 5 days of the milestone, per warehouse.
 
-    The total row is present even when nothing was dispatched.
+    The dates are those the cache holds. The total row is present even when nothing was dispatched.
     """
-    dates = milestone.cached(c)
-    rows = _recent_dispatches(c, clock, days).select(
-        "item_id", "barcode", "item_warehouse_id", "dispatch_date", "user_id", "sheet_warehouse_id"
-    )
+    return _timed_summary(c, _recent_dispatches(c, clock, days, *TIMED), milestone.cached(c), sites)
+
+
+def refreshed_summary(c: Catalog, clock: Clock, sites: Sites, milestone: Milestone, days: int = 7) -> DataFrame:
+    """The summary after the listing has filled its cache.
+
+    The same rows as :func:`to_dispatch_summary` over :func:`with_refreshed_cache`, from one reading
+    of the dispatches and one of the cache.
+    """
+    rows = shared(_recent_dispatches(c, clock, days, *TIMED))
+    return _timed_summary(c, rows, milestone.extended(c, asked_keys(rows, "barcode")), sites)
+
+
+def _timed_summary(c: Catalog, rows: DataFrame, dates: DataFrame, sites: Sites) -> DataFrame:
     rows = with_warehouse(c, with_user(c, rows, "user_id", "left"), "sheet_warehouse_id", "left")
     label = F.coalesce(warehouse_label("username", "item_warehouse_id", sites), F.col("warehouse_code"))
+    # a missing barcode has no date; coalescing it leaves no filter to push below the dispatches' exchange
+    rows = rows.withColumn("barcode", F.coalesce("barcode", F.lit(ABSENT["string"])))
     timed = rows.join(dates, "barcode").select(
         label.alias("warehouse"), "item_id", F.datediff("dispatch_date", "status_time").alias("elapsed")
     )
