@@ -32,13 +32,15 @@ TABLES = {
                CASE WHEN l_discount > 0.085 THEN NULL WHEN l_tax < 0.025 THEN 1 ELSE 0 END AS is_bulk_rule,
                l_suppkey AS created_by_id, l_suppkey % 12 AS warehouse_id,
                CASE WHEN l_returnflag = 'R' THEN 'RTV' ELSE 'IN' END AS status, l_extendedprice AS price,
+               cast(l_quantity AS DOUBLE) / 8 AS weight,
+               CASE WHEN l_linenumber IN (2, 4, 6) THEN 'AIR' ELSE 'SURFACE' END AS shipping_mode,
                l_shipdate AS manifest_date, l_shipdate AS created
         FROM lineitem""",
     "rtv_sheet_detail": f"""
         SELECT o_orderkey AS id, o_orderdate - {days('o_custkey % 4')} AS created, o_orderdate AS updated,
                CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
                     ELSE {courier('(o_custkey % 25)')} END AS courier_code,
-               'AWB' || o_orderkey AS awb_number,
+               'AWB' || o_orderkey AS awb_number, 'BAG' || (o_orderkey % 97) AS bag,
                CASE o_orderstatus WHEN 'P' THEN 'vendor' WHEN 'O' THEN '1' ELSE '2' END AS return_warehouse,
                o_custkey AS receiver_id, o_custkey % 27 AS warehouse_id, o_custkey % 110 AS updated_by_id
         FROM orders""",
@@ -88,11 +90,20 @@ TABLES = {
     "manifest_rtv_sheet_detail": "SELECT event_id AS manifest_id, event_id AS rtv_sheet_id FROM events",
     "receiver_detail": """
         SELECT c_custkey AS id, c_name AS name,
-               CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name || '@x.example' END AS email
+               CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name || '@x.example' END AS email,
+               c_custkey || ' High Street' AS address_line1,
+               CASE WHEN c_custkey % 3 > 0 THEN 'Floor ' || (c_custkey % 9) END AS address_line2,
+               'City ' || c_nationkey AS city, 'State ' || (c_nationkey % 5) AS state,
+               100000 + c_custkey % 1000 AS pincode, '+91' || (9000000000 + c_custkey) AS contact_number
         FROM customer""",
     "receiver_email": """
         SELECT c_name AS code, c_name || '@alt.example' AS email FROM customer
         WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
+    "report_sites": """
+        SELECT 'Warehouse Wise Summary Reports' AS name,
+               CASE n_nationkey WHEN 0 THEN 'Delhi Nuvo WH' WHEN 1 THEN 'Bang WH' ELSE 'Mum WH' END AS site,
+               'site' || n_nationkey || '@ops.example' AS to_email
+        FROM nation WHERE n_nationkey < 3""",
     "qc": f"""
         SELECT {CODE} AS barcode, o_orderdate - {days('l_linenumber')} AS qc_date_time
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_tax < 0.055

@@ -17,6 +17,7 @@ from retrolane.functions.text import same_text
 
 # Labels by warehouse number.
 WAREHOUSE_LABELS = {3: "Bang WH", 4: "Hyd WH", 5: "Mum WH", 10: "Chn WH"}
+SITE_LABELS = ("Delhi Nuvo WH", "Delhi SD WH", *WAREHOUSE_LABELS.values())
 DETAIL_WAREHOUSE_LABELS = {2: "Delhi SD WH", 3: "Bang WH", 4: "Hyd WH", 5: "Mum WH"}
 
 # Courier name prefixes and the family each belongs to.

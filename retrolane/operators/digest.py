@@ -33,6 +33,10 @@ PLAIN = TableStyle(
     '<td style="border: #dfdfdf solid 1px;">',
     "",
 )
+# The markup around a page that is one table.
+PAGE_OPEN = "<html><body>"
+PAGE_CLOSE = "</body></html>"
+
 ESCAPED = TableStyle(PLAIN.open_table, PLAIN.open_head, PLAIN.cell, PLAIN.body_cell, "\\'")
 PAGE = TableStyle(
     '<table width="100%" style="text-align:center;border-top:4px solid #dbd9d9;'

@@ -21,10 +21,19 @@ EXPORT_FIELDS: dict[str, str] = {
     "inventory.vendor_code": "vendor_code",
     "inventory.forward_awb_number": "forward_awb_number",
     "inventory.price": "price",
+    "inventory.weight": "weight",
+    "inventory.shipping_mode": "shipping_mode",
     "rtv_sheet_detail.awb_number": "awb_number",
     "rtv_sheet_detail.created": "sheet_created",
+    "rtv_sheet_detail.bag": "bag",
     "receiver_detail.name": "receiver_name",
     "receiver_detail.email": "receiver_email",
+    "receiver_detail.address_line1": "address_line1",
+    "receiver_detail.address_line2": "address_line2",
+    "receiver_detail.city": "receiver_city",
+    "receiver_detail.state": "receiver_state",
+    "receiver_detail.pincode": "receiver_pincode",
+    "receiver_detail.contact_number": "contact_number",
     "warehouse.code": "warehouse_code",
     "warehouse.name": "warehouse",
     "address_details.id": "address_id",

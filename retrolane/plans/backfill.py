@@ -20,15 +20,37 @@ def rpr_backfill(c: Catalog, before: datetime) -> DataFrame:
     return received(c, F.col("created") < moment(before))
 
 
+def _found_names(c: Catalog, excluded: Sequence[str]) -> DataFrame:
+    """Names from the returns database for the barcodes that lack one."""
+    missing = c.inventory.where(F.col("customer_name").isNull() & F.col("barcode").isNotNull())
+    if excluded:
+        missing = missing.where(~F.col("barcode").isin(list(excluded)))
+    return customer_names(c, distinct_keys(missing, "barcode"))
+
+
+def _filled(inventory: DataFrame, names: DataFrame) -> DataFrame:
+    filled = splittable_join(inventory, names, "barcode", "left")
+    return filled.withColumn("customer_name", F.coalesce("found_name", "customer_name")).select(*inventory.columns)
+
+
 def customer_name_fill(c: Catalog, excluded: Sequence[str] = ()) -> DataFrame:
     """Inventory with missing customer names taken from the returns database.
 
     As the update goes by barcode, every row of a barcode that lacked a name
     takes the found one. Rows without a match keep what they had.
     """
-    missing = c.inventory.where(F.col("customer_name").isNull() & F.col("barcode").isNotNull())
-    if excluded:
-        missing = missing.where(~F.col("barcode").isin(list(excluded)))
-    names = customer_names(c, distinct_keys(missing, "barcode"))
-    filled = splittable_join(c.inventory, names, "barcode", "left")
-    return filled.withColumn("customer_name", F.coalesce("found_name", "customer_name")).select(*c.inventory.columns)
+    return _filled(c.inventory, _found_names(c, excluded))
+
+
+def customer_name_partitions(c: Catalog, by: str, excluded: Sequence[str] = ()) -> DataFrame:
+    """The partitions of inventory that the name fill changes, whole and filled; for `overwrite_partitions`.
+
+    ``by`` is the column the table is partitioned by. Which partitions change is found from the
+    narrow columns; all others are never read in full.
+    """
+    names = _found_names(c, excluded)
+    narrow = c.inventory.select("barcode", "customer_name", by)
+    changed = splittable_join(narrow, names, "barcode", "inner").where(~F.col("customer_name").eqNullSafe(F.col("found_name")))
+    changed = changed.where("found_name IS NOT NULL").select(F.col(by).alias("touched")).distinct()
+    whole = c.inventory.join(changed, F.col(by).eqNullSafe(F.col("touched")), "left_semi")
+    return _filled(whole, names)

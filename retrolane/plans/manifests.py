@@ -37,11 +37,13 @@ def with_line_details(c: Catalog, lines: DataFrame, asked: DataFrame) -> DataFra
     ``asked`` is a shared frame that holds at least the lines' items: the stock is cut to them first.
     """
     receivers = c.receiver_detail.select(
-        F.col("id").alias("receiver_id"), F.col("name").alias("receiver_name"), F.col("email").alias("receiver_email")
-    )
+        F.col("id").alias("receiver_id"), F.col("name").alias("receiver_name"), F.col("email").alias("receiver_email"),
+        "address_line1", "address_line2", F.col("city").alias("receiver_city"), F.col("state").alias("receiver_state"),
+        F.col("pincode").alias("receiver_pincode"), "contact_number",
+    )
     codes = c.warehouse.select(F.col("id").alias("sheet_warehouse_id"), F.col("code").alias("warehouse_code"))
     addresses = c.address_details.select(F.col("id").alias("sheet_warehouse_id"), F.col("id").alias("address_id"))
-    sheet_columns = sheets(c).select("sheet_id", "receiver_id", "awb_number", "sheet_created")
+    sheet_columns = sheets(c).select("sheet_id", "receiver_id", "awb_number", "bag", "sheet_created")
     return (
         lines.join(sheet_columns, "sheet_id", "left")
         .join(receivers, "receiver_id", "left")

@@ -45,3 +45,12 @@ def write_version(df: DataFrame, root: str, table: str, clock: Clock) -> str:
     folder = f"{root}/{table}/version={clock.run_stamp()}"
     df.write.mode("errorifexists").parquet(folder)
     return folder
+
+
+def overwrite_partitions(df: DataFrame, folder: str, by: Sequence[str]) -> None:
+    """Replaces the partitions that ``df`` has rows of; the files of all others stay as they are.
+
+    ``df`` may be made from the table itself: its new files are written beside the old ones before
+    any partition changes hands. It must hold whole partitions. Without rows nothing changes.
+    """
+    df.repartition(*by).write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(folder)

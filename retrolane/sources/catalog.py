@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from datetime import datetime
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from retrolane.sources.schemas import RETURNS_DB, TABLES, WAREHOUSE_DB
@@ -96,23 +98,80 @@ def jdbc_options(
     return options
 
 
+def bounds_query(name: str, key: str) -> str:
+    """One row with the least and greatest value of a key of a live table, as a derived table.
+
+    Both are index look-ups where the key is one; the answer sets the ranges of a parallel scan.
+    """
+    column = SOURCE_COLUMNS.get(name, {}).get(key, key)
+    return f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {SOURCE_TABLES.get(name, name)}) AS {name}_bounds"
+
+
+def key_bounds(reader: DataFrameReader, url: str, name: str, key: str) -> tuple[int, int] | None:
+    """The key's range as the source has it now; None for a table without rows."""
+    row = reader.format("jdbc").options(url=url, dbtable=bounds_query(name, key)).load().first()
+    return None if row is None or row["low"] is None else (int(row["low"]), int(row["high"]))
+
+
+def window_predicates(column: str, start: datetime, end: datetime, slices: int) -> list[str]:
+    """Conditions that cut a window, both ends included, into parts of equal length for parallel reading.
+
+    They meet without gap or overlap, so every row of the window is read once; the source
+    evaluates them, so rows outside never leave it. A row without a time is in no part.
+    """
+    if end < start:
+        return ["1 = 0"]
+    step = (end - start) / max(1, slices)
+    cuts = [start + part * step for part in range(max(1, slices))]
+
+    def text(moment: datetime) -> str:
+        return moment.isoformat(sep=" ", timespec="microseconds")
+
+    parts = [f"{column} >= '{text(low)}' AND {column} < '{text(high)}'" for low, high in zip(cuts, cuts[1:], strict=False)]
+    return [*parts, f"{column} >= '{text(cuts[-1])}' AND {column} <= '{text(end)}'"]
+
+
+@dataclass(frozen=True)
+class Window:
+    """A window on a live table's time column that is read instead of the whole table."""
+
+    column: str
+    start: datetime
+    end: datetime
+
+
 def from_jdbc(
     spark: SparkSession,
     warehouse_url: str,
     returns_url: str,
-    keys: Mapping[str, tuple[str, tuple[int, int]]],
+    keys: Mapping[str, tuple[str, tuple[int, int] | None]],
     slices: int,
     properties: Mapping[str, str],
+    windows: Mapping[str, Window] | None = None,
+    report_sites: DataFrame | None = None,
 ) -> Catalog:
     """Both live databases side by side.
 
-    ``keys`` gives the numeric split column and its range for the large tables.
-    Credentials come in through ``properties`` and are never stored here.
+    ``keys`` gives the numeric split column and its range for the large tables; without a range the
+    source is asked for it when the table is first used. ``windows`` names tables of which only a
+    time window is wanted: the source filters them, in parallel parts. ``report_sites`` holds the
+    addresses of sites, which no live table has. Credentials come in through ``properties`` and are
+    never stored here.
     """
+    windows = windows or {}
 
     def resolve(name: str) -> DataFrame:
+        if name == "report_sites":
+            return spark.createDataFrame([], TABLES[name]) if report_sites is None else report_sites
         url = warehouse_url if name in WAREHOUSE_DB else returns_url
+        if name in windows:
+            window = windows[name]
+            parts = window_predicates(window.column, window.start, window.end, slices)
+            read = spark.read.jdbc(url, source_query(name), predicates=parts, properties=dict(properties))
+            return typed(read, name)
         key, bounds = keys.get(name, (None, None))
+        if key and bounds is None and slices > 1:
+            bounds = key_bounds(spark.read.options(**properties), url, name, key)
         reader = spark.read.format("jdbc").options(**jdbc_options(url, source_query(name), key, bounds, slices))
         return typed(reader.options(**properties).load(), name)
 

@@ -5,11 +5,12 @@ WAREHOUSE_DB = {
         "id BIGINT, barcode STRING, suborder_code STRING, order_code STRING, ticket_id STRING, "
         "issue_category STRING, product_name STRING, forward_awb_number STRING, seller_name STRING, "
         "vendor_code STRING, customer_name STRING, rule_id INT, is_bulk_rule INT, created_by_id BIGINT, "
-        "warehouse_id BIGINT, status STRING, price DOUBLE, manifest_date TIMESTAMP_NTZ, created TIMESTAMP_NTZ"
+        "warehouse_id BIGINT, status STRING, price DOUBLE, weight DOUBLE, shipping_mode STRING, "
+        "manifest_date TIMESTAMP_NTZ, created TIMESTAMP_NTZ"
     ),
     "rtv_sheet_detail": (
         "id BIGINT, created TIMESTAMP_NTZ, updated TIMESTAMP_NTZ, courier_code STRING, awb_number STRING, "
-        "return_warehouse STRING, receiver_id BIGINT, warehouse_id BIGINT, updated_by_id BIGINT"
+        "bag STRING, return_warehouse STRING, receiver_id BIGINT, warehouse_id BIGINT, updated_by_id BIGINT"
     ),
     "rtv_sheet_detail_inventory": "rtv_sheet_detail_id BIGINT, product_details_id BIGINT",
     "rules": "id INT, rule_name STRING",
@@ -26,9 +27,13 @@ WAREHOUSE_DB = {
     "tracking_numbers": "courier_code STRING, tracking_number STRING, is_used INT",
     "manifest": "id BIGINT, created TIMESTAMP_NTZ, updated TIMESTAMP_NTZ, courier_code STRING, is_email_sent INT",
     "manifest_rtv_sheet_detail": "manifest_id BIGINT, rtv_sheet_id BIGINT",
-    "receiver_detail": "id BIGINT, name STRING, email STRING",
+    "receiver_detail": (
+        "id BIGINT, name STRING, email STRING, address_line1 STRING, address_line2 STRING, city STRING, "
+        "state STRING, pincode BIGINT, contact_number STRING"
+    ),
     "receiver_email": "code STRING, email STRING",
     "reports": "name STRING, to_email STRING",
+    "report_sites": "name STRING, site STRING, to_email STRING",
     "qc": "barcode STRING, qc_date_time TIMESTAMP_NTZ",
     "rpr": "barcode STRING, rpr_date_time TIMESTAMP_NTZ",
 }

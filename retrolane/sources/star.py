@@ -23,6 +23,15 @@ TEMPLATE_FIELDS = (
     "<Column><Title>Barcode</Title><Map>inventory.barcode</Map></Column>"
     "<Column><Title>AWB</Title><Map>rtv_sheet_detail.awb_number</Map></Column>"
     "<Column><Title>Origin</Title><Map>warehouse.name</Map><Value>HUB</Value></Column>"
+    "<Column><Title>Weight</Title><Map>inventory.weight</Map></Column>"
+    "<Column><Title>Mode</Title><Map>inventory.shipping_mode</Map></Column>"
+    "<Column><Title>Bag</Title><Map>rtv_sheet_detail.bag</Map></Column>"
+    "<Column><Title>Address</Title><Map>receiver_detail.address_line1</Map></Column>"
+    "<Column><Title>Floor</Title><Map>receiver_detail.address_line2</Map></Column>"
+    "<Column><Title>City</Title><Map>receiver_detail.city</Map></Column>"
+    "<Column><Title>State</Title><Map>receiver_detail.state</Map></Column>"
+    "<Column><Title>Pin</Title><Map>receiver_detail.pincode</Map></Column>"
+    "<Column><Title>Phone</Title><Map>receiver_detail.contact_number</Map></Column>"
     "</Template>"
 )
 TEMPLATE_SERVICE = (
@@ -107,6 +116,8 @@ class _Star:
             "l_suppkey % 12 AS warehouse_id",
             "CASE WHEN l_returnflag = 'R' THEN 'RTV' ELSE 'IN' END AS status",
             "l_extendedprice AS price",
+            "cast(l_quantity AS DOUBLE) / 8 AS weight",
+            "CASE WHEN l_linenumber % 2 = 0 THEN 'AIR' ELSE 'SURFACE' END AS shipping_mode",
             "l_shipdate AS manifest_date",
             "l_shipdate AS created",
         )
@@ -119,6 +130,7 @@ class _Star:
             "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL "
             f"ELSE {courier_code('(o_custkey % 25)')} END AS courier_code",
             "concat('AWB', o_orderkey) AS awb_number",
+            "concat('BAG', o_orderkey % 97) AS bag",
             "CASE o_orderstatus WHEN 'P' THEN 'vendor' WHEN 'O' THEN '1' ELSE '2' END AS return_warehouse",
             "o_custkey AS receiver_id",
             "o_custkey % 27 AS warehouse_id",
@@ -213,6 +225,12 @@ class _Star:
             "c_custkey AS id",
             "c_name AS name",
             "CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE concat(c_name, '@x.example') END AS email",
+            "concat(c_custkey, ' High Street') AS address_line1",
+            "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat('Floor ', c_custkey % 9) END AS address_line2",
+            "concat('City ', c_nationkey) AS city",
+            "concat('State ', c_nationkey % 5) AS state",
+            "cast(100000 + c_custkey % 1000 AS BIGINT) AS pincode",
+            "concat('+91', 9000000000 + c_custkey) AS contact_number",
         )
 
     def receiver_email(self) -> DataFrame:
@@ -229,6 +247,13 @@ class _Star:
             "concat('report', n_nationkey, '@ops.example') AS to_email",
         )
 
+    def report_sites(self) -> DataFrame:
+        return self.read("nation").selectExpr(
+            "'Warehouse Wise Summary Reports' AS name",
+            "try_element_at(array('Delhi Nuvo WH', 'Bang WH', 'Mum WH'), n_nationkey + 1) AS site",
+            "concat('site', n_nationkey, '@ops.example') AS to_email",
+        ).where("site IS NOT NULL")
+
     def qc(self) -> DataFrame:
         one, two = back("o_orderdate", "l_linenumber"), back("o_orderdate", "l_linenumber + 1")
         return (

@@ -1,7 +1,9 @@
+from datetime import datetime, timedelta
+
 import pytest
 
 from __spark_entry__ import PLANS
-from retrolane.sources.catalog import from_parquet, jdbc_options, source_query, typed
+from retrolane.sources.catalog import bounds_query, from_parquet, jdbc_options, source_query, typed, window_predicates
 from retrolane.sources.schemas import RETURNS_DB, TABLES, WAREHOUSE_DB, exportable_columns
 from retrolane.sources.star import from_star
 
@@ -64,3 +66,25 @@ def test_live_tables_are_read_under_the_catalogs_names(spark):
         assert source_query(name).count("SELECT") == 1
     live = spark.createDataFrame([("7", "t", 1)], "id STRING, ticket_code STRING, extra INT")
     assert typed(live, "cc").schema.simpleString() == "struct<id:bigint,ticket_code:string>"
+
+
+def test_key_ranges_are_asked_under_the_live_names():
+    assert bounds_query("inventory", "id") == "(SELECT MIN(id) AS low, MAX(id) AS high FROM inventory) AS inventory_bounds"
+    assert bounds_query("cri", "id").endswith("FROM customer_returned_item) AS cri_bounds")
+    assert "MAX(updatedBy_id)" in bounds_query("rtv_sheet_detail", "updated_by_id")
+
+
+def test_window_parts_cover_the_window_once(spark):
+    start, end = datetime(2014, 10, 11), datetime(2014, 10, 18)
+    moments = [start + timedelta(hours=part) for part in range(-3, 7 * 24 + 4)] + [end, end + timedelta(microseconds=1), None]
+    rows = spark.createDataFrame([(moment,) for moment in moments], "created TIMESTAMP_NTZ")
+    for slices in (1, 3, 8):
+        parts = window_predicates("created", start, end, slices)
+        assert len(parts) == slices
+        counts = [rows.where(part).count() for part in parts]
+        assert sum(counts) == sum(moment is not None and start <= moment <= end for moment in moments)
+        assert rows.where(" OR ".join(f"({part})" for part in parts)).count() == sum(counts)
+    assert rows.where(window_predicates("created", end, start, 4)[0]).count() == 0
+    assert window_predicates("created", start, start, 1) == [
+        "created >= '2014-10-11 00:00:00.000000' AND created <= '2014-10-11 00:00:00.000000'"
+    ]
