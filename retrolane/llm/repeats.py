@@ -7,8 +7,10 @@ together. Contexts whose anchor occurs in one document alone can't repeat and ar
 
 Where contexts arrive they are read by ascending document, in batches. A batch is sorted into a
 suffix array (of the suffixes that windows begin, compared on their first min_bytes bytes), is
-scanned against the arrays of the existing levels for matches of full length, and joins the family
-as a new level; levels of about equal size merge, so there are only logarithmically many.
+merge-scanned against the arrays of the existing levels for matches of full length, and joins the
+family as a new level; levels of about equal size merge, so there are only logarithmically many. An
+array holds its contexts' bytes and an offset of four bytes for each window; suffixes become text
+only in blocks, while they are compared.
 
 Copies of a whole text are settled first, by their hash, and take no part in this.
 """
@@ -32,7 +34,8 @@ PIECE = 4 << 20  # bytes of text looked at together
 SLICE = 8 << 20  # longer documents are looked at in slices
 BUCKET = 16 << 20  # bytes of text behind one bucket of anchors
 BATCH = 400_000  # windows of a batch
-MOST_KNOWN = 200_000  # contexts a task remembers whole
+BLOCK = 1 << 16  # suffixes of a block of a merge scan
+KNOWN_BYTES = 16_000_000  # contexts that a task remembers whole, their overhead included
 MOST_TOLD = 1_000_000  # ids that may be broadcast
 SPOT = np.uint64((1 << 24) - 1)
 
@@ -197,27 +200,77 @@ def _sent(docs: DataFrame, min_bytes: int) -> DataFrame:
     return docs.select("doc_id", "tag", "text", "firsts").mapInArrow(rows, schema)
 
 
+class SuffixArray:
+    """Some suffixes of a run of bytes, sorted by their first `wide` bytes: an offset of four bytes each."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, wide: int):
+        self.data, self.starts, self.wide = data, starts, wide
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def heads(self, begin: int, end: int) -> np.ndarray:
+        """The first bytes of the suffixes at some places of the array."""
+        wide = self.wide
+        windows = np.lib.stride_tricks.as_strided(self.data[:wide].view(f"S{wide}"), (len(self.data) - wide + 1,), (1,))
+        return windows[self.starts[begin:end]]
+
+    def places(self, other: SuffixArray) -> tuple[np.ndarray, np.ndarray]:
+        """By a merge scan in blocks: how many suffixes lie before each of another array's, and which of those stand here.
+
+        Both arrays are gone through once, from their first blocks to their last; only a block of
+        each is held as text.
+        """
+        at = np.full(len(other), len(self), np.int64)
+        found = np.zeros(len(other), dtype=bool)
+        done = 0
+        for begin in range(0, len(self), BLOCK):
+            block = self.heads(begin, begin + BLOCK)
+            while done < len(other):
+                some = other.heads(done, done + BLOCK)
+                upto = int(np.searchsorted(some, block[-1], side="right"))
+                near = np.searchsorted(block, some[:upto])
+                at[done : done + upto] = begin + near
+                found[done : done + upto] = block[near] == some[:upto]
+                done += upto
+                if upto < len(some):
+                    break
+            if done == len(other):
+                break
+        return at, found
+
+    def merged(self, other: SuffixArray) -> SuffixArray:
+        """Both arrays as one, over the bytes of both."""
+        at = self.places(other)[0] + np.arange(len(other))
+        starts = np.empty(len(self) + len(other), np.uint32)
+        own = np.ones(len(starts), dtype=bool)
+        own[at] = False
+        starts[own] = self.starts
+        starts[at] = other.starts + np.uint32(len(self.data))
+        return SuffixArray(np.concatenate([self.data, other.data]), starts, self.wide)
+
+
 class SuffixFamily:
-    """Levels of sorted suffixes; each level is at least twice as long as the next one."""
+    """Levels of suffix arrays; each level is at least twice as long as the next one."""
 
     def __init__(self) -> None:
-        self.levels: list[np.ndarray] = []
+        self.levels: list[SuffixArray] = []
 
-    def holds(self, suffixes: np.ndarray) -> np.ndarray:
-        """Which of the sorted suffixes stand in some level, by a merge scan of each."""
-        found = np.zeros(len(suffixes), dtype=bool)
+    def holds(self, batch: SuffixArray) -> np.ndarray:
+        """Which suffixes of a batch stand in some level, by a merge scan of each."""
+        found = np.zeros(len(batch), dtype=bool)
         for level in self.levels:
-            at = np.minimum(np.searchsorted(level, suffixes), len(level) - 1)
-            found |= level[at] == suffixes
+            found |= level.places(batch)[1]
         return found
 
-    def add(self, suffixes: np.ndarray) -> None:
-        """Takes in sorted distinct suffixes that no level holds."""
-        while self.levels and len(self.levels[-1]) < 2 * len(suffixes):
-            both = np.concatenate([self.levels.pop(), suffixes])
-            suffixes = np.sort(both, kind="stable")
-        if len(suffixes):
-            self.levels.append(suffixes)
+    def add(self, batch: SuffixArray) -> None:
+        """Takes in distinct suffixes that no level holds; offsets keep within four bytes."""
+        while self.levels and len(self.levels[-1]) < 2 * len(batch):
+            if len(self.levels[-1].data) + len(batch.data) >= 1 << 32:
+                break
+            batch = self.levels.pop().merged(batch)
+        if len(batch):
+            self.levels.append(batch)
 
 
 class _Index:
@@ -227,15 +280,21 @@ class _Index:
         self.min_bytes = min_bytes
         self.family = SuffixFamily()
         self.known: dict[bytes, int] = {}
+        self.known_bytes = 0
 
     def batch(self, docs: list[int], parts: list[bytes]) -> list[list[tuple[int, int]]]:
         """Runs [begin, end) of repeated bytes in each context, within the context."""
         out: list[list[tuple[int, int]]] = [[] for _ in parts]
-        if len(self.known) > MOST_KNOWN:
+        if self.known_bytes > KNOWN_BYTES:
             self.known.clear()
+            self.known_bytes = 0
         fresh = []
         for i, (doc, part) in enumerate(zip(docs, parts, strict=True)):
-            if self.known.setdefault(part, doc) < doc:
+            first = self.known.get(part)
+            if first is None:
+                self.known[part] = first = doc
+                self.known_bytes += len(part) + 150
+            if first < doc:
                 out[i].append((0, len(part)))
             else:
                 fresh.append(i)
@@ -248,20 +307,19 @@ class _Index:
         begins = np.cumsum(lengths) - lengths
         row = np.repeat(np.arange(len(fresh)), counts)
         spot = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        starts = begins[row] + spot
-        all_ = np.lib.stride_tricks.as_strided(data[:wide].view(f"S{wide}"), (len(data) - wide + 1,), (1,))
-        suffixes = all_[starts]
-        order = np.argsort(suffixes, kind="stable")
-        ranked = suffixes[order]
-        cuts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        distinct = ranked[cuts]
-        held = self.family.holds(distinct)
+        starts = (begins[row] + spot).astype(np.uint32)
+        heads = SuffixArray(data, starts, wide).heads(0, len(starts))
+        order = np.argsort(heads, kind="stable")
+        heads = heads[order]
+        cuts = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
+        del heads
+        distinct = order[cuts]  # rows come by ascending document and the sort is stable: the earliest of each
+        held = self.family.holds(SuffixArray(data, starts[distinct], wide))
         owner = np.array([docs[i] for i in fresh], dtype=np.int64)[row]
-        earliest = owner[order[cuts]]  # rows come by ascending document and the sort is stable
         sizes = np.diff(np.concatenate((cuts, [len(order)])))
         gone = np.zeros(len(row), dtype=bool)
-        gone[order] = np.repeat(held, sizes) | (owner[order] > np.repeat(earliest, sizes))
-        self.family.add(distinct[~held])
+        gone[order] = np.repeat(held, sizes) | (owner[order] > np.repeat(owner[distinct], sizes))
+        self._keep(data, starts, row, distinct[~held], begins, lengths)
         edge = np.flatnonzero(np.concatenate(([True], (gone[1:] != gone[:-1]) | (row[1:] != row[:-1]), [True])))
         for start, end in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
             if gone[start]:
@@ -269,6 +327,17 @@ class _Index:
         return out
 
 
+    def _keep(
+        self, data: np.ndarray, starts: np.ndarray, row: np.ndarray, new: np.ndarray, begins: np.ndarray, lengths: np.ndarray
+    ) -> None:
+        """Adds the new suffixes to the family, with the bytes of those contexts alone that have some."""
+        used = np.zeros(len(begins), dtype=bool)
+        used[row[new]] = True
+        moved = np.where(used, begins - (np.cumsum(np.where(used, lengths, 0)) - np.where(used, lengths, 0)), 0)
+        kept = data[np.repeat(used, lengths)]
+        self.family.add(SuffixArray(kept, (starts[new] - moved[row[new]]).astype(np.uint32), self.min_bytes))
+
+
 def _found(sent: DataFrame, min_bytes: int) -> DataFrame:
     """(doc_id, tag, begin, end) of repeated bytes, from contexts sorted by document within each partition."""
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64())

@@ -55,16 +55,37 @@ def test_removed_bytes_equal_brute_force(spark, seed, monkeypatch):
     assert got == brute(rows)
 
 
-def test_the_family_keeps_few_levels():
+def sorted_array(parts: np.ndarray) -> repeats.SuffixArray:
+    return repeats.SuffixArray(np.frombuffer(parts.tobytes(), np.uint8), np.arange(len(parts), dtype=np.uint32) * 50, 50)
+
+
+@pytest.mark.parametrize("block", [3, 64, 1 << 16])
+def test_the_family_keeps_few_levels(monkeypatch, block):
+    monkeypatch.setattr(repeats, "BLOCK", block)
     rng = np.random.default_rng(1)
     family, held = repeats.SuffixFamily(), set()
     for _ in range(60):
         batch = np.unique(rng.integers(0, 10_000, 100).astype("S50"))
-        found = family.holds(batch)
+        found = family.holds(sorted_array(batch))
         assert [x in held for x in batch.tolist()] == found.tolist()
-        family.add(batch[~found])
+        family.add(sorted_array(batch[~found]))
         held |= set(batch.tolist())
     assert len(family.levels) <= 10 and sum(map(len, family.levels)) == len(held)
+    for level in family.levels:
+        heads = level.heads(0, len(level))
+        assert (heads[1:] > heads[:-1]).all()
+
+
+def test_the_family_holds_about_eight_bytes_a_window():
+    rng = np.random.default_rng(2)
+    index = repeats._Index(50)
+    windows = 0
+    for batch in range(6):
+        parts = [rng.integers(97, 123, 67, dtype=np.uint8).tobytes() for _ in range(2000)]
+        assert index.batch(list(range(batch * 2000, batch * 2000 + 2000)), parts) == [[]] * 2000
+        windows += 2000 * 18
+    held = sum(level.data.nbytes + level.starts.nbytes for level in index.family.levels)
+    assert held <= 8 * windows
 
 
 def test_long_texts_are_looked_at_in_slices(monkeypatch):
