@@ -288,16 +288,7 @@ def narrowed(pattern: str) -> re.Pattern | None:
 
 
 class Encoder:
-    """Whole texts to ids and back, with one transducer for all pieces."""
-
-    #: The last one of this process: a Python worker goes on with the tables of its earlier tasks.
-    last: tuple[object, Encoder] | None = None
-
-    @classmethod
-    def of(cls, key: object, ranks: dict[bytes, int], pattern: str) -> Encoder:
-        if cls.last is None or cls.last[0] != key:
-            cls.last = (key, cls(ranks, pattern))
-        return cls.last[1]
+    """Whole texts to ids and back, with one transducer for all pieces. Serves one task, and its tables go with it."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ids = PieceIds(Transducer(ranks))
@@ -342,12 +333,10 @@ def encode(
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[f"`{k}`" for k in kept]).schema.fields]
     fields += ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"]
     fields += ["ids array<int>"] * ids + ["decoded string"] * decoded
-    table = load_ranks(ranks_path)
-    key = (ranks_path, pattern, hashlib.sha256(b"".join(sorted(table, key=table.get))).hexdigest())
-    ranks = docs.sparkSession.sparkContext.broadcast(table)
+    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(key, ranks.value, pattern)
+        encoder = Encoder(ranks.value, pattern)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)

@@ -9,8 +9,10 @@ those of the whole chain, whatever the length of the text.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,11 +25,13 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5, 6, 7)
 SAMPLE_ROWS = 6_000  # labelled documents used for fitting, at most a third of them toxic
-SAMPLE_CHARS = 20_000  # longer documents are left out of the fit (never of the scores)
+# Of a longer document so many characters, from a place that its id chooses, give words and sequences to the fit;
+# the map to a probability is fitted on whole documents below it. Scores read every document whole.
+SAMPLE_CHARS = 20_000
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 WINDOW = 48  # tokens of a training sequence
-MOST_WINDOWS = 2_000  # training sequences, half of them at most from clean documents
+MOST_WINDOWS = 2_000  # training sequences, half of them at most from clean documents; chosen by a hash, from anywhere
 MOST_WORDS = 400_000  # words whose evidence a task remembers
 
 
@@ -182,7 +186,9 @@ def _fit_chain(model: Model, windows: list[tuple[list[float], list[int]]], steps
 def _fit_scale(inputs: np.ndarray, labels: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps, with a light pull towards zero."""
     scale = start.copy()
-    pull = np.diag([1e-3, 0.02, 0.02, 1e-3])
+    if not len(labels):
+        return scale
+    pull = 1e-3 * np.eye(len(scale))
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(inputs @ scale, -30, 30)))
         slope = inputs.T @ (labels - p) - pull @ scale
@@ -203,26 +209,33 @@ def fit(texts: list[tuple[str, int]]) -> Model:
         return Model()
     weights = _lexicon([(set(words), label) for words, label in split])
     model = Model(weights)
+    drawn: tuple[list, list] = ([], [])
+    tokens = [[model.weight(word) for word in words] for words, _ in split]
+    for number, ((text, label), values) in enumerate(zip(texts, tokens, strict=True)):
+        starts = {max(0, i - WINDOW // 2) for i, value in enumerate(values) if value is not None}
+        if not label:
+            starts.update(range(0, len(values), WINDOW))
+        mark = zlib.crc32(text.encode())
+        drawn[bool(label)].extend((zlib.crc32(b"%d" % start, mark), number, start) for start in starts)
     windows: tuple[list, list] = ([], [])
-    for words, label in split:
-        values = [model.weight(word) for word in words]
-        places = [i for i, value in enumerate(values) if value is not None] if label else []
-        starts = sorted({max(0, i - WINDOW // 2) for i in places[:4]}) if places else [0] if words else []
-        for start in starts:
-            part = values[start : start + WINDOW]
-            windows[bool(label)].append(([value or 0.0 for value in part], [int(bool(label) and value is not None) for value in part]))
+    for label, places in enumerate(drawn):
+        for _, number, start in heapq.nsmallest(MOST_WINDOWS // 2, places):
+            part = tokens[number][start : start + WINDOW]
+            windows[label].append(([value or 0.0 for value in part], [int(bool(label) and value is not None) for value in part]))
     if any(windows):
-        half = MOST_WINDOWS // 2
-        share, bias, moves = _fit_chain(model, windows[0][:half] + windows[1][:half])
+        share, bias, moves = _fit_chain(model, windows[0] + windows[1])
         model = Model({name: value * share for name, value in weights.items()}, bias, moves)
-    inputs = np.array([model.sums(text)[3] for text, _ in texts])
-    labels = np.array([label for _, label in texts], dtype=float)
+    # a part of a longer document says nothing about the document's sums
+    whole = [(text, label) for text, label in texts if len(text) < SAMPLE_CHARS]
+    inputs = np.array([model.sums(text)[3] for text, _ in whole])
+    labels = np.array([label for _, label in whole], dtype=float)
     return Model(model.weights, model.bias, model.moves, _fit_scale(inputs, labels, model.scale))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fits on at most sample_rows labelled documents that are not held out, chosen by a hash of the id.
 
+    At most sample_rows texts of at most SAMPLE_CHARS characters reach the driver.
     Rows of labels without id or label count as absent; an id labelled more than once counts as toxic
     if any of its labels does.
     """
@@ -233,8 +246,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sick = marked.where("label = 1").orderBy("order", "doc_id").limit(third)
     well = marked.where("label = 0").orderBy("order", "doc_id").limit(sample_rows - third)
     chosen = sick.unionByName(well).select("doc_id", "label")
-    texts = docs.select("doc_id", "text").where(F.length("text").between(1, SAMPLE_CHARS))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "label").limit(2 * sample_rows).collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("length(text) > 0")
+    # of rows that repeat an id one takes part, so at most sample_rows reach the driver
+    picked = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")
+    )
+    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
+    rows = picked.select(F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"), "label").collect()
     return fit([(row["text"], row["label"]) for row in rows])
 
 
@@ -254,7 +272,9 @@ def tag(docs: DataFrame, model: Model, threshold: float = THRESHOLD, spans: bool
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        # what words a model remembers goes with the task, not with the worker that holds the broadcast
+        told = shared.value
+        model = Model(told.weights, told.bias, told.moves, told.scale)
         for whole in batches:
             for first in range(0, whole.num_rows, 512):
                 batch = whole.slice(first, 512)
