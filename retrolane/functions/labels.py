@@ -28,17 +28,17 @@ COURIER_FAMILIES = ("DTDC", "JV", "Gati", "Delhivery", "SAP", "Delhidart")
 class Sites:
     """User names behind each site label."""
 
-    # users who work for the Nuvo site from warehouse 2 / from warehouse 7
-    nuvo_at_two: Sequence[str] = ()
-    nuvo_at_seven: Sequence[str] = ()
+    # users who work for the main site from warehouse 2 / from warehouse 7
+    main_at_two: Sequence[str] = ()
+    main_at_seven: Sequence[str] = ()
     # the one user the detail listings show under the plain Delhi label
     delhi_detail: Sequence[str] = ()
     # quality-check users per site
-    qc_delhi_sd: Sequence[str] = ()
+    qc_second: Sequence[str] = ()
     qc_bang: Sequence[str] = ()
     qc_bang_by_center: Sequence[str] = ()
-    qc_nuvo: Sequence[str] = ()
-    qc_nuvo_by_center: Sequence[str] = ()
+    qc_main: Sequence[str] = ()
+    qc_main_by_center: Sequence[str] = ()
     qc_hyd: Sequence[str] = ()
     qc_mum: Sequence[str] = ()
     qc_chn: Sequence[str] = ()
@@ -50,9 +50,9 @@ def warehouse_label(user: str, warehouse: str, sites: Sites) -> Column:
     An unknown user (NULL) is neither inside nor outside the named set.
     """
     name, number = F.col(user), F.col(warehouse)
-    at_two = same_text(name, *sites.nuvo_at_two)
+    at_two = same_text(name, *sites.main_at_two)
     label = F.when(
-        (at_two & (number == 2)) | (same_text(name, *sites.nuvo_at_seven) & (number == 7)), "Delhi Nuvo WH"
+        (at_two & (number == 2)) | (same_text(name, *sites.main_at_seven) & (number == 7)), "Delhi Nuvo WH"
     ).when(~at_two & (number == 2), "Delhi SD WH")
     for key, text in WAREHOUSE_LABELS.items():
         label = label.when(number == key, text)
@@ -72,15 +72,15 @@ def qc_site_label(user: str, center: str, sites: Sites) -> Column:
     """Quality-check site from the package's last user and returns centre; NULL when no site applies."""
     name, code = F.col(user), F.col(center)
     return (
-        F.when(same_text(name, *sites.qc_delhi_sd), "Delhi SD WH")
+        F.when(same_text(name, *sites.qc_second), "Delhi SD WH")
         .when(
             same_text(name, *sites.qc_bang)
             | (same_text(name, *sites.qc_bang_by_center) & same_text(code, "RMS-NUVO-BANG")),
             "Bang WH",
         )
         .when(
-            same_text(name, *sites.qc_nuvo)
-            | (same_text(name, *sites.qc_nuvo_by_center) & same_text(code, "RMS-DEL", "RMS-NUVO-DEL")),
+            same_text(name, *sites.qc_main)
+            | (same_text(name, *sites.qc_main_by_center) & same_text(code, "RMS-DEL", "RMS-NUVO-DEL")),
             "Delhi Nuvo WH",
         )
         .when(same_text(name, *sites.qc_hyd), "Hyd WH")

@@ -361,14 +361,14 @@ def from_star(spark: SparkSession, folder: str) -> Catalog:
 
 # Made-up user names behind each site, for the test tables.
 TEST_SITES = Sites(
-    nuvo_at_two=("Supplier#000000002", "supplier#000000014"),
-    nuvo_at_seven=("Supplier#000000007",),
+    main_at_two=("Supplier#000000002", "supplier#000000014"),
+    main_at_seven=("Supplier#000000007",),
     delhi_detail=("Supplier#000000002",),
-    qc_delhi_sd=("agent0", "customer"),
+    qc_second=("agent0", "customer"),
     qc_bang=("agent1",),
     qc_bang_by_center=("agent2", "agent3"),
-    qc_nuvo=("agent4",),
-    qc_nuvo_by_center=("agent2",),
+    qc_main=("agent4",),
+    qc_main_by_center=("agent2",),
     qc_hyd=("agent5", "agent6"),
     qc_mum=("agent7",),
     qc_chn=("agent8",),

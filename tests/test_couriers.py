@@ -13,7 +13,7 @@ from retrolane.plans.couriers import courier_wise_rtv, day_name, warehouse_couri
 from tests.conftest import at, dicts
 
 CLOCK = Clock.at("2014-10-18 12:00")
-SITES = Sites(nuvo_at_two=("ann",), qc_hyd=("gus",), qc_mum=("hal",))
+SITES = Sites(main_at_two=("ann",), qc_hyd=("gus",), qc_mum=("hal",))
 
 
 def dispatches(seed):

@@ -15,8 +15,8 @@ from retrolane.functions.metrics import percent, percent_floor, percent_one_deci
 from retrolane.functions.text import before_dash, line_breaks, recipients, same_text, text_or_empty, titled, yes_no
 
 SITES = Sites(
-    nuvo_at_two=("ann", "Bea"), nuvo_at_seven=("cal",), delhi_detail=("ann",), qc_delhi_sd=("customer",),
-    qc_bang=("dan",), qc_bang_by_center=("eve",), qc_nuvo=("flo",), qc_nuvo_by_center=("eve",), qc_hyd=("gus",),
+    main_at_two=("ann", "Bea"), main_at_seven=("cal",), delhi_detail=("ann",), qc_second=("customer",),
+    qc_bang=("dan",), qc_bang_by_center=("eve",), qc_main=("flo",), qc_main_by_center=("eve",), qc_hyd=("gus",),
     qc_mum=("hal",), qc_chn=("ivy",),
 )
 

@@ -20,7 +20,7 @@ from retrolane.sources.schemas import TABLES
 from tests.conftest import at, dicts
 
 CLOCK = Clock.at("2014-10-18 12:00")
-SITES = Sites(nuvo_at_two=("ann",), delhi_detail=("ann",), qc_delhi_sd=("sid",))
+SITES = Sites(main_at_two=("ann",), delhi_detail=("ann",), qc_second=("sid",))
 
 
 def tables():
