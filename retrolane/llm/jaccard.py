@@ -1,8 +1,9 @@
 """Set-similarity join of documents on word shingles, by size-banded tiles and bitmap signatures.
 
 Copies of a set become one class first. Every class then goes to one tile per shingle of its
-prefix: the rarest n - ceil(s * n) + 1 of its n shingles in one global order, which any two sets
-of similarity s share. Inside a tile two sets are compared if their sizes allow the similarity and
+prefix: the first n - ceil(s * n) + 1 of its n shingles in one global order, of which any two sets
+of similarity s share one. The order puts rare shingles first: a share of all shingles, chosen by hash and
+larger than a prefix, is counted exactly over all documents, and its frequent ones come late. Inside a tile two sets are compared if their sizes allow the similarity and
 their bitmaps do: bit b of a bitmap says whether an odd number of the shingles hash to b, so
 differing bits bound the symmetric difference from below and the overlap from above. Tiles carry 128
 bits, large ones 512; pairs that pass are held to bitmaps as wide as the sets are large. What still passes is decided by intersecting the exact sorted arrays.
@@ -28,8 +29,10 @@ from retrolane.llm.common import components, stage
 LOWER = bytes(byte + 32 if 65 <= byte <= 90 else byte for byte in range(256))
 MOST_WORDS = 500_000  # word hashes that a task remembers
 SMALL_TILE = 3  # tiles up to this size are compared whole at once
-HEAVY_BATCH = 4096  # documents among which a shingle that occurs twice may count as frequent
-MOST_HEAVY = 400_000  # frequent shingles told to every task; the others count as rare
+HEAVY_BATCH = 4096  # documents whose shingles are counted at once
+BUCKET_ROWS = 4096  # documents for each bucket of counts, of which there are at least 1,024
+MOST_HEAVY = 2_000_000  # frequent shingles told to every task, nine bytes each; the others count as rare
+UNKNOWN_LEVEL = 32  # of shingles that are not counted: as if 16 documents held them
 MOST_TOLD = 4_000_000  # document ids told to every task; beyond that they are joined
 BLOCK = 1024
 MID_BITS = 512  # of the bitmaps in large tiles
@@ -99,37 +102,107 @@ def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-def _heavy(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in batches of documents, with their summed counts; at most MOST_HEAVY.
+def _counted_share(percent: int) -> int:
+    """Of 256 classes of shingles how many are counted: two and a half times what a prefix takes, at least 1."""
+    return min(256, max(1, -(-256 * 5 * (100 - percent) // 200)))
 
-    They only steer which shingles come last in the global order, which is right for any order.
+
+def _counted(shingles: np.ndarray, share: int) -> np.ndarray:
+    return (shingles >> np.uint64(56)) < np.uint64(share)
+
+
+def _names(shingles: np.ndarray, buckets: int) -> np.ndarray:
+    """What a shingle is counted under: its bucket and 32 more bits, in the shingles' order. Few share a name."""
+    return shingles >> np.uint64(33 - buckets.bit_length())
+
+
+def _counts(docs: DataFrame, words: int, share: int, buckets: int) -> DataFrame:
+    """Names of shingles that more than SMALL_TILE rows hold, with their number of rows.
+
+    It is exact for the share that is counted; of the others only those count that are repeated in a batch
+    of documents. Batches send, by bucket, the names that they hold once in four bytes each, and the others
+    with their number.
     """
 
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in _pieces(batches, HEAVY_BATCH):
             sets = [shingler(text) for text in batch.column("text").to_pylist()]
-            found, times = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0), np.zeros(0))
-            often = times >= 2
+            found, times = np.unique(np.concatenate(sets), return_counts=True)
+            sent = _counted(found, share) | (times > 1)
+            found, times = _names(found[sent], buckets), times[sent]
+            cuts = np.searchsorted(found, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+            full = np.flatnonzero(np.diff(cuts))
+            low, times = found.astype(np.uint32), times.astype(np.uint32)
+            once, more = [], []
+            for start, end in zip(cuts[full], cuts[full + 1], strict=True):
+                many = times[start:end] > 1
+                once.append(low[start:end][~many].tobytes())
+                more.append(np.stack([low[start:end][many], times[start:end][many]]).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found[often].astype(np.uint64).view(np.int64)), pa.array(times[often].astype(np.int64))], ["shingle", "times"]
+                [pa.array(full, pa.int64()), pa.array(once, pa.binary()), pa.array(more, pa.binary())], ["bucket", "once", "more"]
             )
 
-    often = docs.select("text").mapInArrow(counts, "shingle long, times long")
-    often = often.groupBy("shingle").agg(F.sum("times").alias("times"))
-    rows = often.orderBy(F.desc("times"), "shingle").limit(MOST_HEAVY).toArrow()
-    names = rows.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
+    def totals(table: pa.Table) -> pa.Table:
+        once = [np.frombuffer(blob.as_buffer(), np.uint32) for blob in table.column("once")]
+        more = [np.frombuffer(blob.as_buffer(), np.uint32).reshape(2, -1) for blob in table.column("more")]
+        once, (low, times) = np.concatenate(once), np.concatenate(more, axis=1)
+        names, place = np.unique(np.concatenate([once, low]), return_inverse=True)
+        sums = np.bincount(place[: len(once)], minlength=len(names))
+        sums = sums + np.bincount(place[len(once) :], weights=times, minlength=len(names)).astype(np.int64)
+        often = sums > SMALL_TILE
+        names = names[often].astype(np.int64) | (table.column("bucket")[0].as_py() << 32)
+        return pa.table({"name": pa.array(names), "times": pa.array(sums[often].astype(np.int64))})
+
+    sent = docs.select("text").mapInArrow(parts, "bucket long, once binary, more binary")
+    return sent.groupBy("bucket").applyInArrow(totals, "name long, times long")
+
+
+def _heavy(docs: DataFrame, words: int, percent: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """What orders the shingles: the share that is counted, buckets, sorted names of frequent ones, their levels.
+
+    A level is eight times the binary logarithm of the count. The most frequent levels are told as far as
+    they have at most MOST_HEAVY names. They only steer which shingles come last in the global order, which
+    is right for any order.
+    """
+    share = _counted_share(percent)
+    buckets = 1 << max(10, (docs.count() // BUCKET_ROWS).bit_length())
+    level = F.least(F.floor(F.log2(F.col("times").cast("double")) * 8), F.lit(255)).cast("int")
+    counts = stage(_counts(docs, words, share, buckets).select("name", level.alias("level")), "counts")
+    sizes = counts.groupBy("level").count().orderBy(F.desc("level")).collect()  # at most 256 rows
+    least, told = 256, 0
+    for row in sizes:
+        told += row["count"]
+        if told > MOST_HEAVY:
+            break
+        least = row["level"]
+    rows = counts.where(F.col("level") >= least).toArrow()
+    names = rows.column("name").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(names)
-    return names[order], rows.column("times").to_numpy()[order]
+    return share, buckets, names[order], rows.column("level").to_numpy().astype(np.uint8)[order]
+
+
+def _in_order(found: np.ndarray, share: int, buckets: int, names: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """A set's sorted shingles in the global order: counted ones that are not frequent, the others, frequent ones."""
+    if not len(names):
+        return found  # those that are counted have the smallest hashes
+    mine = _names(found, buckets)
+    at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
+    told = names[at] == mine
+    if not told.any():
+        return found
+    counted = _counted(found, share)
+    weight = np.where(counted, 0, UNKNOWN_LEVEL).astype(np.uint8)
+    weight[told] = np.where(counted[told], levels[at[told]], np.maximum(levels[at[told]], UNKNOWN_LEVEL + 1))
+    return found[np.argsort(weight, kind="stable")]
 
 
 def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Per row: its set's size, 128-bit name, bitmap and prefix."""
-    heavy = docs.sparkSession.sparkContext.broadcast(_heavy(docs, words))
+    heavy = docs.sparkSession.sparkContext.broadcast(_heavy(docs, words, percent))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
-        names, times = heavy.value
         for batch in _pieces(batches):
             sizes, sets, bits, prefixes, wide, mid = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -142,11 +215,7 @@ def _marks(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 wide.append(wide_parity(found))
                 mid.append(wide_parity(found, MID_BITS))
                 long = n - least_overlap(n, percent) + 1 if n else 0
-                if len(names) and n:
-                    at = np.minimum(np.searchsorted(names, found), len(names) - 1)
-                    often = names[at] == found
-                    weight = np.where(often, times[at], 0)
-                    found = found[np.argsort(weight, kind="stable")]
+                found = _in_order(found, *heavy.value)
                 prefixes.append(found[:long].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [

@@ -81,3 +81,40 @@ def test_one_of_each_group_stays_with_all_columns(spark):
     assert out.columns == docs.columns
     assert sorted((r[0] or 0, r[2] or "") for r in out.collect()) == [(0, "n"), (2, "y"), (9, ""), (9, "")]
     assert jaccard.without_near_copies(docs.limit(0)).count() == 0
+
+
+def test_counted_shingles_are_counted_over_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HEAVY_BATCH", 7)
+    rows = corpus(4) + [(9000 + i, "the very same words") for i in range(40)] + [(9900, None), (9901, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    shingler = jaccard.Shingler(3)
+    held = {}
+    for _, text in rows:
+        for name in jaccard._names(shingler(text), 1024).tolist():
+            held[name] = held.get(name, 0) + 1
+    counts = {row["name"]: row["times"] for row in jaccard._counts(docs, 3, 64, 1024).collect()}
+    share = 64 << 34  # a name has ten bits of the bucket and 32 more
+    exact = {name: times for name, times in held.items() if times > jaccard.SMALL_TILE and name < share}
+    assert {name: times for name, times in counts.items() if name < share} == exact and len(exact) > 10
+    assert all(jaccard.SMALL_TILE < times <= held[name] for name, times in counts.items())
+
+
+def test_order_is_one_for_all_sets_and_rare_shingles_come_first(spark):
+    docs = spark.createDataFrame([(i, f"the very same words {i}") for i in range(90)], "doc_id long, text string")
+    heavy = jaccard._heavy(docs, 2, 60)
+    shingler = jaccard.Shingler(2)
+    frequent = set(shingler("the very same words").tolist())
+    place = {}
+    for i in range(90):
+        order = jaccard._in_order(shingler(f"the very same words {i}"), *heavy).tolist()
+        assert order[0] not in frequent
+        for left, right in zip(order, order[1:], strict=False):
+            assert place.setdefault((left, right), True) and (right, left) not in place
+
+
+@pytest.mark.parametrize("most", [0, 5])
+def test_components_with_few_frequent_shingles_told(spark, monkeypatch, most):
+    monkeypatch.setattr(jaccard, "MOST_HEAVY", most)
+    rows = corpus(8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.link(docs, 3, 90).collect())) == brute(rows, 3, 90)
