@@ -21,32 +21,34 @@ EQUAL_CHARS = 1  # the registered query's bound for equal lines
 MOST_TOLD = 1_000_000  # ids that may be broadcast, after counting them
 
 
-def _keys(line: Column, length: Column, edits: int, places: list[tuple[int, int, int]]) -> Column:
-    """Hashes of the pieces that stand at segment i, moved by shift, of lines shorter by gap, for (i, gap, shift).
+Place = tuple[int, int, int]
 
-    Segments are of about equal length; the later ones take the rest. The places are data, not code: one
-    small expression over them compiles, a dozen written out would not.
-    """
-    parts = edits + 1
 
-    def key(p: Column) -> Column:
-        whole = length - p["gap"]
-        base = F.call_function("div", whole, F.lit(parts)).cast("int")
-        extra = F.greatest(F.lit(0), p["i"] - (parts - whole % parts))
-        more = F.when(p["i"] >= parts - whole % parts, 1).otherwise(0)
-        return F.xxhash64(p["i"], whole, line.substr(base * p["i"] + extra + 1 + p["shift"], base + more))
+def _keyed(lines: DataFrame, edits: int, places: list[Place], *columns: Column) -> DataFrame:
+    """The columns and, as key, hashes of the pieces of a line (line, length) that stand at the places (i, gap, shift).
 
+    These are segment i, moved by shift, of lines shorter by gap. Segments are of about equal length; the
+    later ones take the rest. The places are rows, not code: one small expression over them compiles, a
+    dozen written out would not, and an array of keys would not be compiled at all.
+    """
     names = ("i", "gap", "shift")
     rows = [F.struct(*(F.lit(value).alias(name) for name, value in zip(names, place, strict=True))) for place in places]
-    return F.transform(F.array(*rows), key)
+    lines = lines.withColumn("place", F.explode(F.array(*rows)))
+    i, parts = F.col("place.i"), edits + 1
+    whole = F.col("length") - F.col("place.gap")
+    base = F.call_function("div", whole, F.lit(parts)).cast("int")
+    extra = F.greatest(F.lit(0), i - (parts - whole % parts))
+    more = F.when(i >= parts - whole % parts, 1).otherwise(0)
+    piece = F.col("line").substr(base * i + extra + 1 + F.col("place.shift"), base + more)
+    return lines.select(*columns, F.xxhash64(i, whole, piece).alias("key"))
 
 
-def _indexed(line: Column, length: Column, edits: int) -> Column:
-    return _keys(line, length, edits, [(i, 0, 0) for i in range(edits + 1)])
+def _indexed(edits: int) -> list[Place]:
+    return [(i, 0, 0) for i in range(edits + 1)]
 
 
-def _probed(line: Column, length: Column, edits: int) -> Column:
-    """Keys under which a shorter or equally long line may stand.
+def _probed(edits: int) -> list[Place]:
+    """Places where a segment of a shorter or equally long line may stand.
 
     With i segments before, the shift is at most i; with edits - i behind, it is as close to the gap.
     """
@@ -55,31 +57,40 @@ def _probed(line: Column, length: Column, edits: int) -> Column:
         for i in range(edits + 1):
             for shift in range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1):
                 places.append((i, gap, shift))
-    return _keys(line, length, edits, places)
+    return places
 
 
 # Letters whose counts, one byte each, travel with the keys.
-PACKED = "etanisro"
+PACKED = "etanis"
 
 
 def packed_counts(line: Column, length: Column) -> Column:
-    """Counts of the packed letters modulo 256, as the bytes of a long."""
-    out = F.lit(0).cast("long")
-    for i, letter in enumerate(PACKED):
-        count = (length - F.length(F.replace(line, F.lit(letter)))) % 256
-        out = out + F.shiftleft(count.cast("long"), 8 * i)
+    """The length and the counts of the packed letters, modulo 256, as the bytes of a long.
+
+    Each letter leaves the line once it is counted, so that the next one is looked for in less text.
+    """
+    out = (length % 256).cast("long")
+    for i, letter in enumerate(PACKED, 1):
+        less = F.replace(line, F.lit(letter))
+        out = out + F.shiftleft(((F.octet_length(line) - F.octet_length(less)) % 256).cast("long"), 8 * i)
+        line = less
     return out
 
 
 def packed_near(one: Column, two: Column, edits: int) -> Column:
     """Whether packed counts leave room for the edits: each moves two of them by one at most."""
     apart = F.lit(0)
-    for i in range(len(PACKED)):
+    for i in range(1, len(PACKED) + 1):
         gap = F.pmod(F.shiftright(one, 8 * i).bitwiseAND(F.lit(255)) - F.shiftright(two, 8 * i).bitwiseAND(F.lit(255)), F.lit(256))
         apart = apart + F.least(gap, F.lit(256) - gap)
     return apart <= 2 * edits
 
 
+def packed_equal_length(one: Column, two: Column) -> Column:
+    """Whether lines that meet, whose lengths differ by a few characters at most, are equally long."""
+    return one.bitwiseXOR(two).bitwiseAND(F.lit(255)) == 0
+
+
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
     """Edit distance of two strings if it is at most edits, else a number above edits.
 
@@ -145,7 +156,8 @@ COUNTED = "etanoirsuhdlcm"
 def histogram(line: Column) -> Column:
     """How often a line holds each counted letter, and its length."""
     length = F.length(line)
-    return F.array(length, *(length - F.length(F.replace(line, F.lit(letter))) for letter in COUNTED))
+    octets = F.octet_length(line)  # the letters take one byte each
+    return F.array(length, *(octets - F.octet_length(F.replace(line, F.lit(letter))) for letter in COUNTED))
 
 
 def may_be_near(one: Column, two: Column, edits: int) -> Column:
@@ -176,14 +188,14 @@ def near_pairs(
     classes = stage(lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), first).select("h1", "h2", "n", "first.*"), "lines")
     length = F.length("line")
     sized = lines.where(length >= min_chars).select("h1", "line", length.alias("length")).withColumn("letters", packed_counts(F.col("line"), F.col("length")))
-    index = sized.select("h1", "letters", F.explode(_indexed(F.col("line"), F.col("length"), edits)).alias("key"))
-    probe = sized.select(
-        F.col("h1").alias("g1"), F.col("letters").alias("others"), F.explode(_probed(F.col("line"), F.col("length"), edits)).alias("key")
-    )
+    index = _keyed(sized, edits, _indexed(edits), F.col("h1"), F.col("letters"))
+    probe = _keyed(sized, edits, _probed(edits), F.col("h1").alias("g1"), F.col("letters").alias("others"))
     # equal lines give equal keys: one of each goes on where they arrive
     index = index.repartition("key").distinct()
     probe = probe.repartition("key").distinct()
-    met = index.join(probe, "key").where(F.col("h1") != F.col("g1"))
+    # equally long lines are in each other's index: one of the two meetings is enough
+    once = ~packed_equal_length(F.col("letters"), F.col("others")) | (F.col("h1") < F.col("g1"))
+    met = index.join(probe, "key").where((F.col("h1") != F.col("g1")) & once)
     met = met.where(packed_near(F.col("letters"), F.col("others"), edits))
     pairs = stage(met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b")).distinct(), "met")
 
