@@ -5,9 +5,13 @@ hierarchy of graphs: every layer holds a sixteenth of the nodes of the layer bel
 small enough to compare whole, and the nodes found in a layer are where the search of the next one
 starts. Every vector then queries every shard. A query whose beam is still full of links when it
 ends is repeated with a wider one, and a group of queries starts with the narrowest beam that finds nearly
-all links of a sample of it, known by comparing with all nodes. Links are decided by the cosine in
-double precision; blocks of them are folded into counts and components, so that no task holds the
-links of a dense group.
+all links of an audit, known by comparing with all nodes. An audit asks for some of the group's queries
+and for nodes of the shard that are turned away until they barely link, so it always holds links; a node's
+link with itself doesn't count. Links are decided by the cosine in double precision; blocks of them are
+folded into counts and components, so that no task holds the links of a dense group.
+
+A group holds about as many bytes of queries as a shard of vectors, so sending a shard's graph to every
+group costs about what sending every query to every shard does.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ from retrolane.llm.common import components, stage
 
 LEAST_SHARDS = 8
 SHARD_BYTES = 64 << 20  # of vectors in a shard
-SLICE = 16_384  # queries of one group
+SLICE_BYTES = SHARD_BYTES  # of queries in a group
+SLICE = 16_384  # queries of a group where there would be few groups
+GROUPS = 64  # fewer groups than this are few
 NEIGHBOURS = 24
 BUILD_BEAM = 48
 BEAM = 32
@@ -35,7 +41,7 @@ SHRINK = 16
 WHOLE = 512  # a layer of at most so many nodes is compared whole
 WIDEST = 16  # a beam of more than this part of a layer costs more than comparing the layer whole
 CELLS = 1 << 20  # similarities or pairs that are held at once
-AUDIT = 96  # audited queries of a group
+AUDIT = 96  # audited queries of a group, and links planted for its audit
 RECALL = 0.995  # share of the audited links that must be found
 
 
@@ -232,21 +238,38 @@ def _sure(
         yield q[sure], node[sure]
 
 
-def links_within(layer: Layer, exact: np.ndarray, queries: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (query, node) with a cosine of at least `least`, in pieces, with beams as wide as the audit asks for.
+def planted(exact: np.ndarray, least: float, rng: np.random.Generator) -> np.ndarray:
+    """Unit vectors that link with a node each: nodes turned away until the cosine is between least and halfway to 1."""
+    near = exact[rng.choice(len(exact), min(AUDIT, len(exact)), replace=False)]
+    away = rng.normal(size=near.shape)
+    away -= np.einsum("ij,ij->i", away, near)[:, None] * near
+    away /= np.maximum(np.sqrt((away * away).sum(axis=1, keepdims=True)), 1e-12)
+    cosine = least + (1 - least) * rng.uniform(0.02, 0.5, (len(near), 1))
+    return _unit(cosine * near + np.sqrt(1 - cosine * cosine) * away)
+
+
+def audited_beam(
+    layer: Layer, exact: np.ndarray, ids: np.ndarray, queries: np.ndarray, mine: np.ndarray, least: float
+) -> tuple[int, int, int]:
+    """The beam that the audit asks for, the audit's links and how many of them that beam finds.
 
-    Queries don't depend on each other, so the audited ones alone settle the beam before the others are asked.
+    Queries don't depend on each other, so the audited ones alone settle the beam before the others are
+    asked. No audit (0, 0) where the layer is compared whole.
     """
-    rng = np.random.default_rng(len(queries))
-    audited = rng.choice(len(queries), min(AUDIT, len(queries)), replace=False)
-    truth = queries[audited] @ exact.T >= least
     beam = BEAM
-    while not layer.whole(beam):
-        found = sum(int(truth[q, node].sum()) for q, node in _sure(layer, exact, queries[audited], least, beam))
-        if found >= RECALL * truth.sum():
-            break
+    if layer.whole(beam):
+        return beam, 0, 0
+    rng = np.random.default_rng(len(queries))
+    some = rng.choice(len(queries), min(AUDIT, len(queries)), replace=False)
+    asked = np.concatenate([queries[some], planted(exact, least, rng)])
+    truth = asked @ exact.T >= least
+    truth[: len(some)] &= mine[some][:, None] != ids
+    total = int(truth.sum())
+    while True:
+        found = sum(int(truth[q, node].sum()) for q, node in _sure(layer, exact, asked, least, beam))
+        if found >= RECALL * total or layer.whole(beam):
+            return beam, total, found
         beam *= 4
-    yield from _sure(layer, exact, queries, least, beam)
 
 
 def _prepared(vectors: DataFrame) -> DataFrame:
@@ -305,7 +328,7 @@ class Forest:
 
 def _queried(least: float):
     def search(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        names = ["vec_id", "links", "other"]
+        names = ["vec_id", "links", "other", "audited", "met"]
         if not len(graph) or not len(queries):
             return pd.DataFrame({name: np.zeros(0, np.int64) for name in names})
         row = graph.iloc[0]
@@ -316,24 +339,29 @@ def _queried(least: float):
         asked = _unit(np.frombuffer(b"".join(queries["data"]), np.float64).reshape(len(queries), -1))
         vertices, flat = np.unique(np.concatenate([mine, ids]), return_inverse=True)
         counts, forest = np.zeros(len(mine)), Forest(len(vertices))
-        for q, node in links_within(layer, exact, asked, least):
+        beam, audited, met = audited_beam(layer, exact, ids, asked, mine, least)
+        for q, node in _sure(layer, exact, asked, least, beam):
             other = mine[q] != ids[node]
             q, node = q[other], node[other]
             counts += np.bincount(q, weights=weights[node], minlength=len(mine))
             forest.add(flat[: len(mine)][q], flat[len(mine) :][node])
         some, joined = counts > 0, forest.root != np.arange(len(vertices))
+        # the last row carries the audit only
+        rows = some.sum() + joined.sum()
         return pd.DataFrame(
             {
-                "vec_id": np.concatenate([mine[some], vertices[joined]]),
-                "links": np.concatenate([counts[some].astype(np.int64), np.zeros(joined.sum(), np.int64)]),
-                "other": np.concatenate([mine[some], vertices[forest.root[joined]]]),
+                "vec_id": np.concatenate([mine[some], vertices[joined], mine[:1]]),
+                "links": np.concatenate([counts[some].astype(np.int64), np.zeros(joined.sum() + 1, np.int64)]),
+                "other": np.concatenate([mine[some], vertices[forest.root[joined]], mine[:1]]),
+                "audited": np.append(np.zeros(rows, np.int64), audited),
+                "met": np.append(np.zeros(rows, np.int64), met),
             }
         )
 
     return search
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.95, recall: bool = False) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of vectors (vec_id, embedding).
 
     Vectors link when their cosine in double precision is at least `least`; component_id is the smallest
@@ -341,7 +369,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     or hold null or non-finite components link with nothing, as do rows without vec_id (their component is
     null). Vectors of different length don't link. Rows that repeat a vec_id with the same vector count as
     copies; with other vectors they are one vertex, whose links are those of all its vectors. Other columns
-    are ignored.
+    are ignored. On request every row also tells audit_links and audit_recall: how many links all audits held
+    and the share that the searches found; 0 and null where all layers were small enough to compare whole.
     """
     spark = vectors.sparkSession
     all_ = stage(_prepared(vectors), "vectors")
@@ -350,7 +379,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     classes = stage(classes, "classes")
     total, widest = classes.agg(F.count("*"), F.max("size")).first()
     shards = max(LEAST_SHARDS, -(-total * 8 * (widest or 1) // SHARD_BYTES))
-    slices = max(1, -(-total // SLICE))
+    few = min(-(-total // SLICE), -(-GROUPS // shards))
+    slices = max(1, few, -(-total * 8 * (widest or 1) // SLICE_BYTES))
     dealt = classes.withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(shards)))
     schema = "size long, shard long, ids binary, weights binary, vectors binary, layers array<long>, tables array<binary>"
     graphs = stage(dealt.groupBy("size", "shard").applyInPandas(_built, schema), "graphs")
@@ -359,8 +389,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     asked = asked.select("size", "shard", "slice", "vec_id", "data")
     keys = ["size", "shard", "slice"]
-    found = graphs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_queried(least), "vec_id long, links long, other long")
-    found = stage(found, "found")
+    schema = "vec_id long, links long, other long, audited long, met long"
+    found = stage(graphs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_queried(least), schema), "found")
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links")).withColumnRenamed("vec_id", "first")
     known = components(found.where("vec_id <> other").select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
     named = classes.select("data", F.col("vec_id").alias("first"), "many")
@@ -368,6 +398,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     out = all_.join(named, (all_["data"] == named["data"]) & all_["vec_id"].isNotNull(), "left")
     links = F.coalesce(F.col("links"), F.lit(0)) + F.coalesce(F.col("many") - 1, F.lit(0))
     component = F.coalesce("component", "first", "vec_id")
-    return out.select("vec_id", links.alias("n_links"), component.alias("component_id")).withColumn(
+    out = out.select("vec_id", links.alias("n_links"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
     )
+    if not recall:
+        return out
+    audited, met = found.agg(F.coalesce(F.sum("audited"), F.lit(0)), F.coalesce(F.sum("met"), F.lit(0))).first()
+    share = F.lit(met / audited if audited else None).cast("double")
+    return out.withColumns({"audit_links": F.lit(audited).cast("long"), "audit_recall": share})

@@ -33,7 +33,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    return embeddings.near_vectors(table(spark, folder, "embeddings"), least=0.95)
+    return embeddings.near_vectors(table(spark, folder, "embeddings"), least=0.95, recall=True)
 
 
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,6 +44,33 @@ def test_links_equal_brute_force(spark, whole, monkeypatch):
     assert got == brute(rows, 0.95)
 
 
+def test_shards_too_large_to_compare_whole_are_walked(spark):
+    """About 650 nodes a shard against a beam of 32: too many to compare, so every shard's graph is searched."""
+    rng = np.random.default_rng(9)
+    points = rng.normal(size=(5200, 12))
+    points[4000:] = points[:1200] + rng.normal(size=(1200, 12)) * rng.uniform(0.02, 0.4, (1200, 1))
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = embeddings.near_vectors(frame, 0.95, recall=True).toPandas().sort_values("vec_id")
+    unit = points / np.sqrt((points * points).sum(axis=1, keepdims=True))
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    links = out.n_links.to_numpy()
+    assert (links <= near.sum(axis=1)).all() and links.sum() >= 0.995 * near.sum() > 1000
+    forest = embeddings.Forest(len(points))
+    forest.add(*np.nonzero(near))
+    assert (out.component_id.to_numpy() == forest.root).mean() >= 0.995
+    assert out.audit_links.min() >= embeddings.LEAST_SHARDS * embeddings.AUDIT
+    assert 0.995 <= out.audit_recall.min() <= 1
+
+
+def test_planted_links_are_links_at_any_threshold():
+    rng = np.random.default_rng(1)
+    for least, width in [(0.95, 12), (0.5, 3), (1.0, 4), (0.9, 1)]:
+        exact = embeddings._unit(rng.normal(size=(300, width)))
+        assert ((embeddings.planted(exact, least, rng) @ exact.T).max(axis=1) >= least - 1e-9).all()
+
+
 def test_empty_table(spark):
     assert embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
