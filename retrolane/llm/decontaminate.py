@@ -122,11 +122,7 @@ class Items:
             for offset, code in enumerate(codes):
                 gate.setdefault(code, []).append((number, offset))
             by_length[n].append(number)
-        self.members = []
-        for _, ids in self.items:
-            own = np.zeros(len(self.vocabulary) + 2, dtype=np.int64)
-            own[ids] = 1
-            self.members.append(own)
+        self.members = [np.unique(np.array(ids, np.int64)) for _, ids in self.items]
         self.keys = {size: np.array(sorted(gate), np.int64) for size, gate in self.gates.items()}
         self.embedding = Embedding(max(by_length, default=1))
         self.tables = {}
@@ -144,6 +140,12 @@ class Items:
             code += ids[i : i + len(code)]
         return code
 
+    def _own(self, number: int, ids: np.ndarray) -> np.ndarray:
+        """1 where a word is one of the item's, else 0."""
+        members = self.members[number]
+        at = np.minimum(np.searchsorted(members, ids), len(members) - 1)
+        return (members[at] == ids).astype(np.int64)
+
     def starts(self, ids: np.ndarray) -> dict[int, set[int]]:
         """By item length, where windows start that share a run with an item of that length."""
         out: dict[int, set[int]] = defaultdict(set)
@@ -164,7 +166,7 @@ class Items:
                     k = allowed(n, self.percent)
                     low, high = max(0, place - offset - k), min(len(ids) - 1, place - offset + k)
                     # all but k words of the item stand in a window of n + k words, or it is too far
-                    own = self.members[number][ids[low : high + n + k]]
+                    own = self._own(number, ids[low : high + n + k])
                     sums = np.concatenate(([0], np.cumsum(own)))
                     begins = np.arange(high - low + 1)
                     counts = sums[np.minimum(begins + n + k, len(own))] - sums[begins]
@@ -208,7 +210,7 @@ class Items:
             number = int(pairs[first, 0])
             words_of = Counter(item)
             found_at = pairs[first:last, 1]
-            found_at = found_at[self.members[number][longer[found_at]].sum(axis=1) >= n - k]
+            found_at = found_at[self._own(number, longer[found_at]).sum(axis=1) >= n - k]
             same = (windows[found_at] == np.array(item)).all(axis=1)
             for window in found_at[same].tolist():
                 d, start = places[window]
