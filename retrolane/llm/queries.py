@@ -62,8 +62,9 @@ def op6_html(spark: SparkSession, folder: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"))
-    scored = toxicity.tag(docs, model, spans=False)
-    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "toxic_tokens")
+    scored = toxicity.tag(docs, model)
+    held_out = toxicity.held_out(F.col("doc_id")).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted", "toxic_tokens", "toxic_spans")
 
 
 def op8_lines(spark: SparkSession, folder: str) -> DataFrame:
