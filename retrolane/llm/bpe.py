@@ -194,34 +194,76 @@ class PieceIds(dict):
         return ids
 
 
+BROKEN = 8
+
+
+def utf8_moves() -> np.ndarray:
+    """moves[state, byte] of UTF-8. States: 0 between characters, 1 to 3 with as many bytes to come, 4 to 7 after a
+    lead byte that bounds the next one, BROKEN after a byte that fits nothing."""
+    moves = np.full((BROKEN + 1, 256), BROKEN, np.uint8)
+    moves[0, :0x80] = 0
+    moves[0, 0xC2:0xE0] = 1
+    moves[0, 0xE0:0xF0] = 2
+    moves[0, 0xF0:0xF5] = 3
+    moves[0, [0xE0, 0xED, 0xF0, 0xF4]] = [4, 5, 6, 7]
+    for more in (1, 2, 3):
+        moves[more, 0x80:0xC0] = more - 1
+    moves[4, 0xA0:0xC0] = moves[5, 0x80:0xA0] = 1
+    moves[6, 0x90:0xC0] = moves[7, 0x80:0x90] = 2
+    return moves
+
+
+MOVES = utf8_moves()
+BYTE_MOVES = [row.tobytes() for row in MOVES]
+
+
 class Utf8Machine:
-    """Incremental UTF-8 decoding: bytes in, text out; an unfinished character waits for its rest.
+    """UTF-8 in pieces of any size: whole characters come out, the bytes of an unfinished one wait.
 
     Bytes that can't be part of a character become U+FFFD, as `bytes.decode(errors="replace")` does.
     """
 
     def __init__(self) -> None:
+        self.state = 0
         self.waiting = b""
 
     def feed(self, data: bytes, last: bool = False) -> str:
-        data = self.waiting + data
-        keep = 0 if last else self._unfinished(data)
-        self.waiting = data[len(data) - keep :]
-        return data[: len(data) - keep].decode("utf-8", errors="replace")
-
-    @staticmethod
-    def _unfinished(data: bytes) -> int:
-        for back in range(1, min(3, len(data)) + 1):
-            byte = data[-back]
-            if byte & 0xC0 == 0x80:
+        """The characters that data makes whole, byte by byte; after the last piece nothing waits."""
+        at, data = len(self.waiting), self.waiting + data
+        out, first, begin, state = [], 0, 0, self.state
+        while at < len(data):
+            state = BYTE_MOVES[state][data[at]]
+            if state == BROKEN:
+                # what was begun is lost as one; the byte may begin a character itself
+                out += [data[first:begin].decode(), "\ufffd"]
+                at += begin == at
+                first, begin, state = at, at, 0
                 continue
-            need = 2 if 0xC2 <= byte < 0xE0 else 3 if 0xE0 <= byte < 0xF0 else 4 if 0xF0 <= byte < 0xF5 else 1
-            return back if need > back else 0
-        return 0
+            at += 1
+            if state == 0:
+                begin = at
+        out.append(data[first:begin].decode())
+        self.state, self.waiting = state, data[begin:]
+        if last and self.waiting:
+            out.append("\ufffd")
+        if last:
+            self.state, self.waiting = 0, b""
+        return "".join(out)
+
+    def feed_ids(self, ids: np.ndarray, decoder: Decoder, last: bool = False) -> str:
+        """The same over tokens: whole tokens move the machine at once, only the last few go byte by byte."""
+        data = decoder.decode(ids)
+        whole = decoder.whole(ids, self.state)
+        if not whole:
+            return self.feed(data, last)
+        cut = len(data) if whole == len(ids) else int(decoder.lengths[ids[:whole]].sum())
+        head = (self.waiting + data[:cut]).decode()
+        self.state, self.waiting = 0, b""
+        return head + self.feed(data[cut:], last)
 
 
 class Decoder:
-    """Ids to bytes by one gather over the vocabulary's bytes."""
+    """Ids to bytes by gathers over the vocabulary's bytes, and the moves of the UTF-8 machine over whole tokens."""
 
     def __init__(self, ranks: dict[bytes, int]):
         tokens = {rank: token for token, rank in ranks.items()}
@@ -229,6 +271,35 @@ class Decoder:
         self.lengths = np.array([len(part) for part in parts], dtype=np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)))[:-1] if parts else np.zeros(0, np.int64)
         self.blob = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        self.moves = np.repeat(np.arange(BROKEN + 1, dtype=np.uint8)[:, None], len(parts), axis=1)
+        longer, place = np.flatnonzero(self.lengths), 0
+        while len(longer):
+            self.moves[:, longer] = MOVES[self.moves[:, longer], self.blob[self.starts[longer] + place]]
+            place += 1
+            longer = longer[self.lengths[longer] > place]
+        self.token_moves = [row.tobytes() for row in self.moves]
+
+    def whole(self, ids: np.ndarray, state: int) -> int | None:
+        """How many of the first ids end with a whole character; None if some byte fits nothing."""
+        inside = np.flatnonzero(self.moves[0][ids]).tolist()
+        if not state and not inside:
+            return len(ids)
+        tokens, at, ends = ids.tolist(), 0, 0
+        starts = iter(inside)
+        while at < len(tokens):
+            if not state:
+                # tokens that begin and end between characters need no look
+                at = next((i for i in starts if i >= at), len(tokens))
+                ends = at
+                if at == len(tokens):
+                    break
+            state = self.token_moves[state][tokens[at]]
+            if state == BROKEN:
+                return None
+            at += 1
+            if not state:
+                ends = at
+        return ends
 
     def decode(self, ids: np.ndarray) -> bytes:
         lengths = self.lengths[ids]
@@ -244,11 +315,11 @@ def decode_stream(chunks: Iterable[list[int]], decoder: Decoder) -> Iterator[str
     """Text of a stream of id lists, as soon as its characters are whole."""
     machine = Utf8Machine()
     for ids in chunks:
-        yield machine.feed(decoder.decode(np.asarray(ids, dtype=np.int64)))
+        yield machine.feed_ids(np.asarray(ids, dtype=np.int64), decoder)
     yield machine.feed(b"", last=True)
 
 
-CHUNK_IDS = 1 << 20
+CHUNK_IDS = 1 << 16  # ids that the decoder is fed at once
 
 # Letters, numbers and white space among the code points up to U+024F.
 NARROW = {
@@ -307,9 +378,7 @@ class Encoder:
 
     def decode_ids(self, ids: np.ndarray) -> str:
         machine = Utf8Machine()
-        parts = [
-            machine.feed(self.decoder.decode(ids[at : at + CHUNK_IDS])) for at in range(0, len(ids), CHUNK_IDS)
-        ]
+        parts = [machine.feed_ids(ids[at : at + CHUNK_IDS], self.decoder) for at in range(0, len(ids), CHUNK_IDS)]
         return "".join(parts) + machine.feed(b"", last=True)
 
 
@@ -344,14 +413,14 @@ def encode(
                 for text in batch.column(column).to_pylist():
                     said = encoder.encode_text(text or "")
                     numbers = id_array(said)
-                    data = encoder.decoder.decode(numbers)
+                    back = encoder.decode_ids(numbers)
                     counts.append(len(numbers))
                     first.append(hashlib.sha256(said.encode()).hexdigest())
-                    second.append(hashlib.sha256(data).hexdigest())
+                    second.append(hashlib.sha256(back.encode()).hexdigest())
                     if ids:
                         lists.append(numbers)
                     if decoded:
-                        texts.append(encoder.decode_ids(numbers))
+                        texts.append(back)
                 columns = [*batch.columns, pa.array(counts, pa.int64()), pa.array(first, pa.string())]
                 columns.append(pa.array(second, pa.string()))
                 columns += [pa.array(lists, pa.list_(pa.int32()))] * ids + [pa.array(texts, pa.string())] * decoded

@@ -71,6 +71,35 @@ def test_stream_decoding_holds_back_unfinished_characters(encoder):
     assert "".join(bpe.decode_stream([[i] for i in ids], encoder.decoder)) == text
 
 
+def test_the_machine_equals_the_codec_on_any_bytes_in_any_pieces(encoder):
+    rng = random.Random(4)
+    leads = [0x41, 0x80, 0x8F, 0x90, 0x9F, 0xA0, 0xBF, 0xC1, 0xC2, 0xDF, 0xE0, 0xE1, 0xED, 0xEF, 0xF0, 0xF3, 0xF4, 0xF5, 0xFF]
+    ranks = bpe.load_ranks(PATH)
+    ids_of = [ranks[bytes([i])] for i in range(256)]
+    whole = [rank for token, rank in ranks.items() if len(token) > 1]
+    for _ in range(3000):
+        data = bytes(rng.choice(leads) for _ in range(rng.randrange(14)))
+        machine, out, at = bpe.Utf8Machine(), "", 0
+        while at < len(data):
+            size = rng.randrange(1, 5)
+            out += machine.feed(data[at : at + size])
+            at += size
+        assert out + machine.feed(b"", last=True) == data.decode(errors="replace")
+        ids = [ids_of[byte] for byte in data]
+        for _ in range(rng.randrange(4)):
+            ids.insert(rng.randrange(len(ids) + 1), rng.choice(whole))
+        cuts = sorted(rng.choices(range(len(ids) + 1), k=3))
+        chunks = [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
+        raw = encoder.decoder.decode(bpe.np.array(ids, int))
+        assert "".join(bpe.decode_stream(chunks, encoder.decoder)) == raw.decode(errors="replace")
+
+
+def test_a_long_text_is_decoded_in_chunks(encoder, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK_IDS", 3)
+    for text in [*TEXTS, *map(noise, range(200))]:
+        assert encoder.decode_ids(bpe.id_array(encoder.encode_text(text))) == text
+
+
 def test_rows_with_nulls_repeats_and_clashing_names(spark, library):
     rows = [Row(doc_id=1, text="Ha 1", ids="mine"), Row(doc_id=1, text="Ha 1", ids="mine")]
     rows += [Row(doc_id=None, text=None, ids=None), Row(doc_id=2, text="", ids="x"), Row(doc_id=3, text="é" * 40000, ids="")]
