@@ -88,3 +88,14 @@ def test_window_parts_cover_the_window_once(spark):
     assert window_predicates("created", start, start, 1) == [
         "created >= '2014-10-11 00:00:00.000000' AND created <= '2014-10-11 00:00:00.000000'"
     ]
+
+
+def test_views_offer_all_tables_to_sql_until_dropped(spark, make):
+    catalog = make(inventory=[{"barcode": "b1"}, {"barcode": "b2"}])
+    catalog.create_views()
+    try:
+        assert spark.sql("select barcode from inventory order by barcode").collect() == [("b1",), ("b2",)]
+        assert all(spark.table(name).schema == getattr(catalog, name).schema for name in TABLES)
+    finally:
+        catalog.drop_views()
+    assert not {view.name for view in spark.catalog.listTables()} & set(TABLES)
