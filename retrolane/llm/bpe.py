@@ -13,9 +13,11 @@ moves are built when first met and kept in a table of bounded size.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +62,8 @@ class Transducer:
         start = (None, ((0, ()),))
         self.states = [start]
         self.numbers = {start: 0}
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        # state << 8 | byte to the next state and the tokens emitted
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two parts that the last merge of a token joins; None for a single byte."""
@@ -133,25 +136,24 @@ class Transducer:
             emitted = reached
             following = [(0, ())]
         elif first:
-            shared = 0
-            for token in first:
-                if any(len(path) <= shared or path[shared] != token for _, path in following):
-                    break
-                shared += 1
+            shared = len(first)
+            for _, path in following:
+                if path[:shared] != first[:shared]:
+                    shared = next(i for i in range(shared) if path[i : i + 1] != first[i : i + 1])
             if shared:
                 emitted = first[:shared]
                 following = [(node, path[shared:]) for node, path in following]
         if emitted:
             before = emitted[-1]
         # what was emitted last matters only to a start that follows it directly
-        state = (before if any(not path for _, path in following) else None, tuple(following))
+        direct = before if () in [path for _, path in following] else None
+        state = (direct, tuple(following))
         to = self.numbers.get(state)
         if to is None:
             to = self.numbers[state] = len(self.states)
             self.states.append(state)
-            self.moves.append({})
-        self.moves[number][byte] = (to, emitted)
-        return to, emitted
+        move = self.moves[number << 8 | byte] = (to, emitted)
+        return move
 
     def encode(self, piece: bytes) -> list[int]:
         """Token ids of one piece. A piece that is itself a token is that token."""
@@ -163,14 +165,13 @@ class Transducer:
         out: list[int] = []
         state = 0
         for byte in piece:
-            move = self.moves[state].get(byte)
+            move = self.moves.get(state << 8 | byte)
             if move is None:
                 if len(self.states) > 4 * self.most_states:  # inside one very long piece
                     kept = self.states[state]
                     self._clear()
                     state = self.numbers[kept] = len(self.states)
                     self.states.append(kept)
-                    self.moves.append({})
                 move = self._move(state, byte)
             state, emitted = move
             if emitted:
@@ -382,6 +383,18 @@ class Encoder:
         return "".join(parts) + machine.feed(b"", last=True)
 
 
+@contextmanager
+def collector_paused() -> Iterator[None]:
+    """The tables of a task hold no cycles; the collector would walk them over and over to find none."""
+    running = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if running:
+            gc.enable()
+
+
 def id_array(text: str) -> np.ndarray:
     return np.fromstring(text, dtype=np.int32, sep=" ") if text else np.zeros(0, np.int32)
 
@@ -405,26 +418,27 @@ def encode(
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks.value, pattern)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                counts, first, second, lists, texts = [], [], [], [], []
-                for text in batch.column(column).to_pylist():
-                    said = encoder.encode_text(text or "")
-                    numbers = id_array(said)
-                    back = encoder.decode_ids(numbers)
-                    counts.append(len(numbers))
-                    first.append(hashlib.sha256(said.encode()).hexdigest())
-                    second.append(hashlib.sha256(back.encode()).hexdigest())
-                    if ids:
-                        lists.append(numbers)
-                    if decoded:
-                        texts.append(back)
-                columns = [*batch.columns, pa.array(counts, pa.int64()), pa.array(first, pa.string())]
-                columns.append(pa.array(second, pa.string()))
-                columns += [pa.array(lists, pa.list_(pa.int32()))] * ids + [pa.array(texts, pa.string())] * decoded
-                yield pa.RecordBatch.from_arrays(columns, names=kept + added)
+        with collector_paused():
+            encoder = Encoder(ranks.value, pattern)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 256):
+                    batch = whole.slice(at, 256)
+                    counts, first, second, lists, texts = [], [], [], [], []
+                    for text in batch.column(column).to_pylist():
+                        said = encoder.encode_text(text or "")
+                        numbers = id_array(said)
+                        back = encoder.decode_ids(numbers)
+                        counts.append(len(numbers))
+                        first.append(hashlib.sha256(said.encode()).hexdigest())
+                        second.append(hashlib.sha256(back.encode()).hexdigest())
+                        if ids:
+                            lists.append(numbers)
+                        if decoded:
+                            texts.append(back)
+                    columns = [*batch.columns, pa.array(counts, pa.int64()), pa.array(first, pa.string())]
+                    columns.append(pa.array(second, pa.string()))
+                    columns += [pa.array(lists, pa.list_(pa.int32()))] * ids + [pa.array(texts, pa.string())] * decoded
+                    yield pa.RecordBatch.from_arrays(columns, names=kept + added)
 
     return docs.select(*[f"`{name}`" for name in kept]).mapInArrow(rows, ", ".join(fields))
 
