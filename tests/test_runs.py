@@ -140,3 +140,18 @@ def test_only_touched_partitions_are_written(spark, make, tmp_path):
     assert sorted(map(str, again.inventory.select(*c.inventory.columns).collect())) == expected
     overwrite_partitions(backfill.customer_name_partitions(again, "warehouse_id"), folder, ["warehouse_id"])
     assert files() == after
+
+
+def test_the_name_fill_shuffles_no_named_rows(spark, make, tmp_path):
+    c = make(
+        inventory=[{"id": i, "barcode": f"B{i}", "warehouse_id": i % 2, "customer_name": None if i == 7 else "kept"} for i in range(40)]
+        + [{"id": 40, "barcode": "B7", "warehouse_id": 5, "customer_name": "old"}, {"id": 41, "barcode": "B7", "warehouse_id": 6, "customer_name": "Ann"}],
+        cri=[{"id": 1, "code": "B7", "crp_id": 1}], crp=[{"id": 1, "pickup_detail_id": 1}], pickup_detail=[{"id": 1, "name": "Ann"}],
+    )
+    for filled, ids in (
+        (backfill.customer_name_fill(c), set(range(42))),
+        (backfill.customer_name_partitions(c, "warehouse_id"), {i for i in range(40) if i % 2} | {40}),
+    ):
+        assert "hashpartitioning" not in filled._jdf.queryExecution().executedPlan().toString()
+        names = {row["id"]: row["customer_name"] for row in filled.collect()}
+        assert names == {i: "Ann" if i in (7, 40, 41) else "kept" for i in ids}
