@@ -155,3 +155,14 @@ def test_the_name_fill_shuffles_no_named_rows(spark, make, tmp_path):
         assert "hashpartitioning" not in filled._jdf.queryExecution().executedPlan().toString()
         names = {row["id"]: row["customer_name"] for row in filled.collect()}
         assert names == {i: "Ann" if i in (7, 40, 41) else "kept" for i in ids}
+
+
+def test_a_partition_is_written_by_the_tasks_that_hold_its_rows(spark, tmp_path):
+    folder = str(tmp_path / "table")
+    limit = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(0, 400, 1, 4).selectExpr("id", "cast(id % 2 AS INT) AS part")
+    overwrite_partitions(rows, folder, ["part"])
+    overwrite_partitions(rows.where("part = 1"), folder, ["part"])
+    assert sorted(spark.read.parquet(folder).collect()) == sorted(rows.collect())
+    assert [len(glob.glob(f"{folder}/part={n}/*.parquet")) for n in (0, 1)] == [4, 4]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == limit
