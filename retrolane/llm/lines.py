@@ -10,7 +10,7 @@ the bits of two integers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retrolane.llm.common import stage
@@ -18,6 +18,8 @@ from retrolane.llm.common import stage
 EDITS = 2
 MIN_CHARS = 20
 EQUAL_CHARS = 1  # the registered query's bound for equal lines
+MOST_MET = 16  # lines of one key that every line probing it meets; larger groups are looked at more closely first
+GRAMS = (1, 2)  # characters at once for that look
 MOST_TOLD = 1_000_000  # ids that may be broadcast, after counting them
 
 
@@ -40,17 +42,15 @@ def _keyed(lines: DataFrame, edits: int, places: list[Place], *columns: Column)
     extra = F.greatest(F.lit(0), i - (parts - whole % parts))
     more = F.when(i >= parts - whole % parts, 1).otherwise(0)
     piece = F.col("line").substr(base * i + extra + 1 + F.col("place.shift"), base + more)
-    return lines.select(*columns, F.xxhash64(i, whole, piece).alias("key"))
+    own = ((F.col("place.gap") == 0) & (F.col("place.shift") == 0)).alias("own")
+    return lines.select(*columns, F.xxhash64(i, whole, piece).alias("key"), own)
 
 
-def _indexed(edits: int) -> list[Place]:
-    return [(i, 0, 0) for i in range(edits + 1)]
-
-
-def _probed(edits: int) -> list[Place]:
+def _places(edits: int) -> list[Place]:
     """Places where a segment of a shorter or equally long line may stand.
 
     With i segments before, the shift is at most i; with edits - i behind, it is as close to the gap.
+    The places (i, 0, 0) are the line's own segments, its entries in the index.
     """
     places = []
     for gap in range(edits + 1):
@@ -91,6 +91,24 @@ def packed_equal_length(one: Column, two: Column) -> Column:
     return one.bitwiseXOR(two).bitwiseAND(F.lit(255)) == 0
 
 
+def gram_bits(line: Column, q: int) -> Column:
+    """A long with a bit flipped for every q neighbouring characters, chosen by their hash."""
+    one = F.lit(1).cast("long")
+    starts = F.filter(F.sequence(F.lit(0), F.length(line)), lambda i: i <= F.length(line) - q)
+
+    def bits(known: Column) -> Column:
+        gram = lambda i: F.hash(*(F.get(known, i + k) for k in range(q)))
+        return F.aggregate(starts, F.lit(0).cast("long"), lambda out, i: out.bitwiseXOR(F.call_function("shiftleft", one, gram(i))))
+
+    # the array of characters is bound once, else it would be made anew for every step
+    return F.transform(F.array(F.split(line, "")), bits)[0]
+
+
+def grams_near(one: Column, two: Column, q: int, edits: int) -> Column:
+    """Whether the bits leave room for the edits: each takes q grams away and adds q at most."""
+    return F.bit_count(one.bitwiseXOR(two)) <= 2 * q * edits
+
+
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
     """Edit distance of two strings if it is at most edits, else a number above edits.
 
@@ -179,6 +197,22 @@ def _told(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MOST_TOLD else ids
 
 
+def _texts(docs: DataFrame, classes: DataFrame, named: DataFrame, min_chars: int) -> DataFrame:
+    """The lines of the named hashes (h1), each once, as they stand at their first place."""
+    wanted = stage(classes.join(named, "h1", "left_semi"), "wanted")
+    holders = wanted.select("doc_id").distinct()
+    texts = _lines(docs.join(_told(holders), "doc_id", "left_semi"), min_chars)
+    places = wanted.select("doc_id", "tag", "pos", "h1", "h2")
+    return stage(texts.join(_told(places), ["doc_id", "tag", "pos", "h1", "h2"]).dropDuplicates(["h1", "h2"]), "wanted")
+
+
+def _may_meet(edits: int) -> Column:
+    """Whether two lines that share a key (h1, letters and g1, others) have to be looked at, here rather than the other way round."""
+    # equally long lines are in each other's index: one of the two meetings is enough
+    once = ~packed_equal_length(F.col("letters"), F.col("others")) | (F.col("h1") < F.col("g1"))
+    return (F.col("h1") != F.col("g1")) & once & packed_near(F.col("letters"), F.col("others"), edits)
+
+
 def near_pairs(
     docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, equal_chars: int = MIN_CHARS
 ) -> tuple[DataFrame, DataFrame]:
@@ -188,23 +222,39 @@ def near_pairs(
     classes = stage(lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), first).select("h1", "h2", "n", "first.*"), "lines")
     length = F.length("line")
     sized = lines.where(length >= min_chars).select("h1", "line", length.alias("length")).withColumn("letters", packed_counts(F.col("line"), F.col("length")))
-    index = _keyed(sized, edits, _indexed(edits), F.col("h1"), F.col("letters"))
-    probe = _keyed(sized, edits, _probed(edits), F.col("h1").alias("g1"), F.col("letters").alias("others"))
-    # equal lines give equal keys: one of each goes on where they arrive
-    index = index.repartition("key").distinct()
-    probe = probe.repartition("key").distinct()
-    # equally long lines are in each other's index: one of the two meetings is enough
-    once = ~packed_equal_length(F.col("letters"), F.col("others")) | (F.col("h1") < F.col("g1"))
-    met = index.join(probe, "key").where((F.col("h1") != F.col("g1")) & once)
-    met = met.where(packed_near(F.col("letters"), F.col("others"), edits))
-    pairs = stage(met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b")).distinct(), "met")
+    keys = _keyed(sized, edits, _places(edits), F.col("h1"), F.col("letters")).repartition("key")
+    # equal lines give equal keys: one of each goes on where they arrive; as this is also where own keys
+    # are told from the others, both sides of the join read one exchange
+    keys = keys.groupBy("key", "h1", "letters").agg(F.max("own").alias("own"))
+    group = Window.partitionBy("key")
+    index = keys.where("own").withColumns({"n": F.count("*").over(group), "least": F.min("h1").over(group)})
+    # a large group sends one line, which only names the key to the lines that probe it
+    index = index.where((F.col("n") <= MOST_MET) | (F.col("h1") == F.col("least"))).withColumn("large", F.col("n") > MOST_MET)
+    index = index.select("key", "h1", "letters", "large")
+    probe = keys.where("own IS NOT NULL").select("key", F.col("h1").alias("g1"), F.col("letters").alias("others"), "own")
+    met = index.join(probe, "key").where(F.col("large") | _may_meet(edits))
+    only = lambda name: F.when(F.col("large"), F.col(name)).alias(name)
+    a = F.when(F.col("large"), F.col("g1")).otherwise(F.least("h1", "g1")).alias("a")
+    b = F.when(~F.col("large"), F.greatest("h1", "g1")).alias("b")
+    met = stage(met.select(a, b, only("key"), only("others"), only("own")).distinct(), "met")
+    pairs = met.where("b IS NOT NULL").select("a", "b")
+    crowd = met.where("b IS NULL").select("key", F.col("a").alias("h1"), F.col("others").alias("letters"), "own")
+    if not crowd.isEmpty():
+        # only pairs that all characters and their neighbours leave room for come out of large groups
+        texts = _texts(docs, classes, crowd.select("h1").distinct(), min_chars)
+        bits = texts.select("h1", *(gram_bits(F.col("line"), q).alias(f"bits{q}") for q in GRAMS))
+        # two lines of one hash, however rare, are left to the comparison of the texts
+        bits = bits.groupBy("h1").agg(F.count("*").alias("lines"), *(F.min(f"bits{q}").alias(f"bits{q}") for q in GRAMS))
+        bits = stage(bits.where("lines = 1").drop("lines"), "bits")
+        crowd = stage(crowd.join(bits, "h1", "left"), "crowd")
+        probe = crowd.drop("own").withColumnsRenamed({"h1": "g1", "letters": "others"} | {f"bits{q}": f"theirs{q}" for q in GRAMS})
+        more = crowd.where("own").join(probe, "key").where(_may_meet(edits))
+        for q in GRAMS:
+            more = more.where(F.coalesce(grams_near(F.col(f"bits{q}"), F.col(f"theirs{q}"), q, edits), F.lit(True)))
+        pairs = stage(pairs.union(more.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b"))).distinct(), "met")
 
     named = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
-    wanted = stage(classes.join(named, "h1", "left_semi"), "wanted")
-    holders = wanted.select("doc_id").distinct()
-    texts = _lines(docs.join(_told(holders), "doc_id", "left_semi"), min_chars)
-    places = wanted.select("doc_id", "tag", "pos", "h1", "h2")
-    texts = stage(texts.join(_told(places), ["doc_id", "tag", "pos", "h1", "h2"]).dropDuplicates(["h1", "h2"]), "wanted")
+    texts = _texts(docs, classes, named, min_chars)
     # first the pairs that the letters leave room for, then the edit distance of these
     counts = texts.select("h1", "h2", histogram(F.col("line")).alias("letters"))
     left = counts.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("letters").alias("one"))

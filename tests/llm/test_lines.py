@@ -93,3 +93,41 @@ def test_the_query_removes_short_repeats_too(spark, tmp_path):
     assert sorted(map(tuple, out)) == [(1, 4, 0), (2, 5, 2), (3, 3, 2), (4, 1, 1)]
     kept = {r["doc_id"]: r["text"] for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), equal_chars=1).collect()}
     assert kept == {1: rows[0][1], 2: "Read mode\n\nabd", 3: "x" * 30, 4: ""}
+
+
+def test_large_groups_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(lines, "MOST_MET", 2)
+    for seed, limit in ((5, 2), (6, 1)):
+        rows = corpus(seed) + [(200 + i, changed(random.Random(i), "abécabc" * 9, 3)) for i in range(60)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        assert sorted(map(tuple, lines.dedup(docs, limit).collect()), key=str) == brute(rows, limit, 20)
+
+
+def test_gram_bits_never_part_near_lines(spark):
+    rng = random.Random(7)
+    pairs = [(a, changed(rng, a, 2)) for a in ("".join(rng.choice("abé c") for _ in range(rng.randrange(0, 40))) for _ in range(300))]
+    near = spark.createDataFrame(pairs, "a string, b string")
+    for q in lines.GRAMS:
+        bits = [lines.gram_bits(F.col(name), q) for name in ("a", "b")]
+        assert near.where(lines.grams_near(*bits, q, 2)).count() == len(pairs)
+
+
+def test_a_large_group_does_not_meet_in_all_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    made = {}
+
+    def counted(df, name):
+        out = stage(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    stage = lines.stage
+    monkeypatch.setattr(lines, "stage", counted)
+    rows = []
+    for i in range(300):
+        words = [rng.choice(("one", "neo", "eon", "seat", "teas", "east", "sate")) for _ in range(6)]
+        rows.append((i, "the same long beginning of all these many lines, and then " + " ".join(sorted(words, key=len)) + f" {'.' * 4}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, lines.dedup(docs).collect()), key=str) == brute(rows, 2, 20)
+    distinct = len({text for _, text in rows})
+    assert made["met"] < 20 * distinct
