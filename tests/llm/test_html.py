@@ -2,6 +2,8 @@ import random
 import re
 from html import unescape
 
+from pyspark.sql import functions as F
+
 from retrolane.llm import html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{x:1}</style><script>var t="</p>";</script></head>
@@ -97,3 +99,28 @@ def test_copies_are_compared_with_the_nearest_different_page(spark):
     want = {1: "one", 2: "two", 3: "two", 2010: "end", 4000: "first", 4001: "", 4002: "last"}
     want |= {i: "copy" for i in range(10, 2010)} | {i: str(i) for i in range(3000, 3040)}
     assert out == want
+
+
+def test_differencing_judges_pages_with_articles_too(spark):
+    teaser = "<article><h2>Most read</h2><p>{}</p></article>".format
+    make = lambda own, read="Today": f"<body><p>Site</p><article><h1>{own}</h1><p>Shared line of text</p></article>{teaser(read)}</body>"
+    rows = [(1, "http://a.x/1", make("one")), (2, "http://a.x/2", make("two")), (3, "http://a.x/3", make("two", "Other"))]
+    rows += [(4, "http://b.x/1", make("alone")), (5, "http://a.x/2b", make("two")), (6, "nohost", make("none"))]
+    out = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    both = "{}\nShared line of text\nMost read\n{}".format
+    want = {1: "one\nShared line of text", 2: "two\nShared line of text", 5: "two\nShared line of text", 3: both("two", "Other")}
+    assert out == want | {4: both("alone", "Today"), 6: both("none", "Today")}
+
+
+def test_neighbours_of_a_large_host_follow_the_order(spark):
+    rng = random.Random(9)
+    rows = [(f"h{rng.choice('aaaaab')}.x", bytes([i // 256, i % 256]), rng.choice("abc") * rng.randrange(3), i) for i in range(400)]
+    rows += [("one.x", b"t", "p", 1)]
+    frame = spark.createDataFrame(rows, "host string, tag binary, path string, page_id long")
+    classes = frame.select("host", "tag", F.struct("path", "page_id").alias("first")).repartition(5)
+    want = set()
+    for host in {row[0] for row in rows}:
+        tags = [tag for _, tag, path, i in sorted((r for r in rows if r[0] == host), key=lambda r: (r[2], r[3]))]
+        want |= {(host, tag, tags[i - 1] if i else tags[1]) for i, tag in enumerate(tags) if len(tags) > 1}
+    got = [(r["host"], bytes(r["tag"]), bytes(r["other"])) for r in html._neighbours(classes).collect()]
+    assert len(got) == len(want) and set(got) == want
