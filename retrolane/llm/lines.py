@@ -223,15 +223,15 @@ def near_pairs(
     length = F.length("line")
     sized = lines.where(length >= min_chars).select("h1", "line", length.alias("length")).withColumn("letters", packed_counts(F.col("line"), F.col("length")))
     keys = _keyed(sized, edits, _places(edits), F.col("h1"), F.col("letters")).repartition("key")
-    # equal lines give equal keys: one of each goes on where they arrive; as this is also where own keys
-    # are told from the others, both sides of the join read one exchange
-    keys = keys.groupBy("key", "h1", "letters").agg(F.max("own").alias("own"))
+    # equal lines give equal keys: one of each goes into the index where they arrive; as this is also where
+    # own keys are told from the others, both sides of the join read one exchange
+    index = keys.groupBy("key", "h1", "letters").agg(F.max("own").alias("own")).where("own")
     group = Window.partitionBy("key")
-    index = keys.where("own").withColumns({"n": F.count("*").over(group), "least": F.min("h1").over(group)})
+    index = index.withColumns({"n": F.count("*").over(group), "least": F.min("h1").over(group)})
     # a large group sends one line, which only names the key to the lines that probe it
     index = index.where((F.col("n") <= MOST_MET) | (F.col("h1") == F.col("least"))).withColumn("large", F.col("n") > MOST_MET)
     index = index.select("key", "h1", "letters", "large")
-    probe = keys.where("own IS NOT NULL").select("key", F.col("h1").alias("g1"), F.col("letters").alias("others"), "own")
+    probe = keys.select("key", F.col("h1").alias("g1"), F.col("letters").alias("others"), "own")
     met = index.join(probe, "key").where(F.col("large") | _may_meet(edits))
     only = lambda name: F.when(F.col("large"), F.col(name)).alias(name)
     a = F.when(F.col("large"), F.col("g1")).otherwise(F.least("h1", "g1")).alias("a")
