@@ -197,6 +197,19 @@ def _told(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MOST_TOLD else ids
 
 
+def _without_repeats(lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """The lines, each only where it stands first; if too many repeat to be told of, rare ones stay with their repeats.
+
+    Repeats change no pair, but each would meet all that the first one meets.
+    """
+    least = 2
+    while (often := classes.where(F.col("n") >= least)).count() > MOST_TOLD:
+        least *= 2
+    often = often.select("h1", "h2", F.struct("doc_id", "tag", "pos").alias("first"))
+    lines = lines.join(F.broadcast(often), ["h1", "h2"], "left")
+    return lines.where(F.col("first").isNull() | (F.struct("doc_id", "tag", "pos") == F.col("first")))
+
+
 def _texts(docs: DataFrame, classes: DataFrame, named: DataFrame, min_chars: int) -> DataFrame:
     """The lines of the named hashes (h1), each once, as they stand at their first place."""
     wanted = stage(classes.join(named, "h1", "left_semi"), "wanted")
@@ -221,10 +234,10 @@ def near_pairs(
     first = F.min(F.struct("doc_id", "pos", "tag")).alias("first")
     classes = stage(lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), first).select("h1", "h2", "n", "first.*"), "lines")
     length = F.length("line")
-    sized = lines.where(length >= min_chars).select("h1", "line", length.alias("length")).withColumn("letters", packed_counts(F.col("line"), F.col("length")))
+    sized = _without_repeats(lines.where(length >= min_chars), classes).select("h1", "line", length.alias("length")).withColumn("letters", packed_counts(F.col("line"), F.col("length")))
     keys = _keyed(sized, edits, _places(edits), F.col("h1"), F.col("letters")).repartition("key")
-    # equal lines give equal keys: one of each goes into the index where they arrive; as this is also where
-    # own keys are told from the others, both sides of the join read one exchange
+    # keys of equal lines that are left give one entry of the index; as this is also where own keys are
+    # told from the others, both sides of the join read one exchange
     index = keys.groupBy("key", "h1", "letters").agg(F.max("own").alias("own")).where("own")
     group = Window.partitionBy("key")
     index = index.withColumns({"n": F.count("*").over(group), "least": F.min("h1").over(group)})

@@ -131,3 +131,38 @@ def test_a_large_group_does_not_meet_in_all_pairs(spark, monkeypatch):
     assert sorted(map(tuple, lines.dedup(docs).collect()), key=str) == brute(rows, 2, 20)
     distinct = len({text for _, text in rows})
     assert made["met"] < 20 * distinct
+
+
+def join_rows(frame):
+    """Rows that the topmost join of a frame makes when the frame is computed."""
+    frame.collect()
+    node = frame._jdf.queryExecution().executedPlan()
+    while "Join" not in (name := node.nodeName()):
+        node = node.executedPlan() if name == "AdaptiveSparkPlan" else node.plan() if name.endswith("QueryStage") else node.children().apply(0)
+    return node.metrics().apply("numOutputRows").value()
+
+
+def test_repeats_of_a_line_meet_nothing_more_than_the_line(spark, monkeypatch):
+    stage, made = lines.stage, []
+
+    def counted(df, name):
+        if name == "met" and len(made) < runs:
+            made.append(join_rows(df))
+        return stage(df, name)
+
+    monkeypatch.setattr(lines, "stage", counted)
+    base = "a line that stands at many places of the documents"
+    rows = [(i, base[:i] + base[i + 1 :]) for i in range(6)]
+    for runs, repeats in enumerate((0, 1, 50), 1):
+        docs = rows + [(100 + i, f"{base}\n{base}" if i else base) for i in range(repeats + 1)]
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+        assert sorted(map(tuple, lines.dedup(frame).collect()), key=str) == brute(docs, 2, 20)
+    assert made[0] > 0 and made == made[:1] * 3
+
+
+def test_lines_too_many_to_be_told_of_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(lines, "MOST_TOLD", 3)
+    rows = corpus(9) + [(300 + i, "\n".join(line for _, text in corpus(9)[i % 7 :: 7] for line in text.split("\n"))) for i in range(12)]
+    rows += [rows[70], rows[70]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, lines.dedup(docs).collect()), key=str) == brute(rows, 2, 20)
